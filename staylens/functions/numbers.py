@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 EARTH_KM = 6371.0
@@ -96,7 +94,7 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     square = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(square, F.lit(1.0))))
+    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.when(square > 1.0, 1.0).otherwise(square)))
 
 
 def bucket_of(c: Column, per_e: int = 1024) -> Column:
@@ -108,7 +106,3 @@ def bucket_of(c: Column, per_e: int = 1024) -> Column:
     """
     x = c.cast("double")
     return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * F.lit(float(per_e)))).cast("long")
-
-
-def all_true(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -56,12 +56,11 @@ def flag_name(text: str) -> str:
 def list_flags(c: Column, names: tuple[str, ...]) -> list[Column]:
     """One flag per name: some element of the JSON list contains it, any case."""
     items = F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
-    return [
-        F.coalesce(
-            F.exists(items, lambda x, n=name: F.lower(x).contains(n.lower())), F.lit(False)
-        ).alias(flag_name(name))
-        for name in names
-    ]
+
+    def listed(name: str) -> Column:
+        return F.coalesce(F.exists(items, lambda x: F.lower(x).contains(name.lower())), F.lit(False))
+
+    return [listed(name).alias(flag_name(name)) for name in names]
 
 
 def sorted_tokens(c: Column) -> Column:

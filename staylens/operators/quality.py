@@ -1,7 +1,8 @@
 """Data quality: duplicates, completeness, outliers, rules, profiles, schemas, keys.
 
 Each function documents the data and changes nothing. `order` names the stored
-row number that says which rows come first.
+row number that says which rows come first. `by` names tenant columns: every
+tenant gets its own rows, labelled `<tenant>.<dataset>`, from one plan for all.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from staylens.functions.parsing import money, num, strip
 from staylens.operators.order import attach, counted, first_k, quantiles_of, unpivot
 
 ROW_ID = "_row_id"
+SET = "_set"
 
 # Text patterns of the inferred types.
 INTEGER_TEXT = r"^-?\d+$"
@@ -30,10 +32,15 @@ def columns_of(df: DataFrame, order: str = ROW_ID) -> list[str]:
     return [c for c in df.columns if c != order]
 
 
-def row_to_long(df: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -> DataFrame:
-    """Turn the single row of an aggregate into one row per entry of `rows`."""
+def labelled(df: DataFrame, dataset: str, by: Sequence[str]) -> DataFrame:
+    """Adds the label of the tenant's dataset."""
+    return df.withColumn(SET, F.concat_ws(".", *[F.col(c) for c in by], F.lit(dataset)))
+
+
+def row_to_long(df: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]], *keep: str) -> DataFrame:
+    """Turn each row of an aggregate into one row per entry of `rows`."""
     entries = [F.struct(*[c.alias(n) for n, c in row]) for row in rows]
-    return df.select(F.inline(F.array(*entries)))
+    return df.select(*keep, F.inline(F.array(*entries)))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -57,42 +64,46 @@ def as_number(df: DataFrame, name: str, kind=num) -> Column:
 # ---- duplicates ---------------------------------------------------------
 
 
-def exact_duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each group of identical rows, as one row.
+def exact_duplicates(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows beyond the first of each group of identical rows.
 
     Only an 8-byte fingerprint per row is shuffled to find groups that may
     repeat; whole rows are compared for those alone.
     """
-    marked = df.select(*columns, F.xxhash64(*columns).alias("_mark"))
-    repeated = (
-        marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_mark")
-    )
+    marked = df.select(*by, *columns, F.xxhash64(*by, *columns).alias("_mark"))
+    sizes = marked.groupBy(*by, "_mark").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = sizes.where(F.col("_n") > 1).select("_mark").distinct()
     groups = (
         marked.join(repeated, "_mark", "left_semi")
-        .groupBy(*columns)
+        .groupBy(*by, *columns)
         .agg((F.count(F.lit(1)) - 1).alias("_extra"))
+        .groupBy(*by)
+        .agg(F.sum("_extra").alias("_extra"))
     )
-    return groups.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicate_rows"))
+    every = sizes.groupBy(*by).agg(F.sum("_n").alias("_rows"))
+    return attach(every, groups, by).select(*by, F.coalesce("_extra", F.lit(0)).alias("duplicate_rows"))
 
 
-def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each key, nulls being one key, as one row."""
-    groups = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-    return groups.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicate_rows"))
+def key_duplicates(df: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows beyond the first of each key, nulls being one key."""
+    groups = df.groupBy(*by, *keys).agg((F.count(F.lit(1)) - 1).alias("_extra"))
+    return groups.groupBy(*by).agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicate_rows"))
 
 
-def duplicates(df: DataFrame, dataset: str, keys: Sequence[str] = (), order: str = ROW_ID) -> DataFrame:
+def duplicates(
+    df: DataFrame, dataset: str, keys: Sequence[str] = (), by: Sequence[str] = (), order: str = ROW_ID
+) -> DataFrame:
     columns = columns_of(df, order)
+    sets = labelled(df, dataset, by)
 
-    def labelled(found: DataFrame, method: str, key: str) -> DataFrame:
+    def rows(found: DataFrame, method: str, key: str) -> DataFrame:
         return found.select(
-            F.lit(dataset).alias("dataset"), F.lit(method).alias("method"),
-            F.lit(key).alias("key"), "duplicate_rows",
+            F.col(SET).alias("dataset"), F.lit(method).alias("method"), F.lit(key).alias("key"), "duplicate_rows"
         )
 
-    parts = [labelled(exact_duplicates(df, columns), "exact_row", "<all columns>")]
+    parts = [rows(exact_duplicates(sets, columns, [SET]), "exact_row", "<all columns>")]
     if keys and set(keys) <= set(columns):
-        parts.append(labelled(key_duplicates(df, keys), "primary_key", "+".join(keys)))
+        parts.append(rows(key_duplicates(sets, keys, [SET]), "primary_key", "+".join(keys)))
     return stack(parts)
 
 
@@ -108,9 +119,9 @@ def is_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 # ---- completeness -------------------------------------------------------
 
 
-def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Missing values and rows of every column, in one pass."""
-    one = df.agg(
+    one = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(F.col(c)).alias(f"_filled_{i}") for i, c in enumerate(columns)],
     )
@@ -124,25 +135,26 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             ]
             for i, c in enumerate(columns)
         ],
+        *by,
     )
 
 
 def completeness(
-    df: DataFrame, dataset: str, notes: Mapping[str, str] = MISSING_NOTES, order: str = ROW_ID
+    df: DataFrame, dataset: str, notes: Mapping[str, str] = MISSING_NOTES, by: Sequence[str] = (), order: str = ROW_ID
 ) -> DataFrame:
     pairs = [F.lit(x) for pair in notes.items() for x in pair]
     note = F.try_element_at(F.create_map(*pairs), F.col("field")) if pairs else F.lit(None)
     return (
-        null_counts(df, columns_of(df, order))
+        null_counts(labelled(df, dataset, by), columns_of(df, order), [SET])
         .where("missing > 0")
         .select(
-            F.lit(dataset).alias("dataset"),
+            F.col(SET).alias("dataset"),
             "field",
             "missing",
             round_even(ratio(F.col("missing"), F.col("rows")) * 100, 2).alias("missing_pct"),
             F.coalesce(note, F.lit("")).alias("implication"),
         )
-        .orderBy(F.desc("missing_pct"), "field")
+        .orderBy("dataset", F.desc("missing_pct"), "field")
     )
 
 
@@ -162,19 +174,23 @@ def tukey_outliers(
     dataset: str,
     fields: Sequence[str] | None = None,
     factor: float | None = None,
+    by: Sequence[str] = (),
     settings: Settings = SETTINGS,
 ) -> DataFrame:
     """Values outside q1 - k·IQR .. q3 + k·IQR per field; counts come from the
     same table of distinct values as the quartiles."""
     factor = settings.iqr_factor if factor is None else factor
     fields = [f for f in (fields or settings.outlier_fields) if f in df.columns]
-    typed = df.select(*[as_number(df, f, money if f == "price" else num).alias(f) for f in fields])
-    counts = counted(unpivot(typed, [], fields), ["variable"], "value")
-    quartiles = quantiles_of(counts, ["variable"], {"q1": 0.25, "q3": 0.75})
+    typed = labelled(df, dataset, by).select(
+        SET, *[as_number(df, f, money if f == "price" else num).alias(f) for f in fields]
+    )
+    key = [SET, "variable"]
+    counts = counted(unpivot(typed, [SET], fields), key, "value")
+    quartiles = quantiles_of(counts, key, {"q1": 0.25, "q3": 0.75})
     spread = (F.col("q3") - F.col("q1")) * factor
-    # one row per field
+    # one row per tenant and field
     fences = F.broadcast(
-        quartiles.select("variable", "q1", "q3", (F.col("q1") - spread).alias("lo"), (F.col("q3") + spread).alias("hi"))
+        quartiles.select(*key, "q1", "q3", (F.col("q1") - spread).alias("lo"), (F.col("q3") + spread).alias("hi"))
     )
     out = F.when((F.col("_v") < F.col("lo")) | (F.col("_v") > F.col("hi")), F.col("_n")).otherwise(0)
 
@@ -182,14 +198,14 @@ def tukey_outliers(
         return round_even(F.col(c) if isinstance(c, str) else c, 2)
 
     return (
-        counts.join(fences, "variable")
-        .groupBy("variable", "q1", "q3", "lo", "hi")
+        counts.join(fences, key)
+        .groupBy(*key, "q1", "q3", "lo", "hi")
         .agg(
             F.sum(out).alias("n_outliers"), F.sum("_n").alias("n"),
             F.min("_v").alias("low"), F.max("_v").alias("high"),
         )
         .select(
-            F.lit(dataset).alias("dataset"),
+            F.col(SET).alias("dataset"),
             F.col("variable").alias("field"),
             two("q1").alias("q1"), two("q3").alias("q3"),
             two("lo").alias("lower_fence"), two("hi").alias("upper_fence"),
@@ -225,49 +241,54 @@ def listing_rules(df: DataFrame, settings: Settings = SETTINGS) -> dict[str, Col
 
 
 def validate(
-    df: DataFrame, rules: Mapping[str, Column], dataset: str, id: str = "id", order: str = ROW_ID
+    df: DataFrame, rules: Mapping[str, Column], dataset: str, id: str = "id", by: Sequence[str] = (),
+    order: str = ROW_ID,
 ) -> DataFrame:
     """Violations per rule and the first three ids that break it."""
-    broken = df.select(
+    broken = labelled(df, dataset, by).select(
+        SET,
         F.col(id).cast("string").alias("_id"),
         F.col(order).alias("_order"),
         *[F.coalesce(c, F.lit(False)).alias(n) for n, c in rules.items()],
     )
-    one = broken.agg(*[F.count_if(F.col(n)).alias(n) for n in rules])
+    one = broken.groupBy(SET).agg(*[F.count_if(F.col(n)).alias(n) for n in rules])
     totals = row_to_long(
-        one, [[("rule", F.lit(n)), ("violations", F.col(n)), ("_place", F.lit(i))] for i, n in enumerate(rules)]
+        one,
+        [[("rule", F.lit(n)), ("violations", F.col(n)), ("_place", F.lit(i))] for i, n in enumerate(rules)],
+        SET,
     )
     hits = broken.select(
-        "_id", "_order", F.explode(F.array_compact(F.array(*[F.when(F.col(n), F.lit(n)) for n in rules]))).alias("rule")
+        SET, "_id", "_order", F.explode(F.array_compact(F.array(*[F.when(F.col(n), F.lit(n)) for n in rules]))).alias("rule")
     )
     samples = (
-        first_k(hits, ["rule"], "_order", 3)
-        .groupBy("rule")
+        first_k(hits, [SET, "rule"], "_order", 3)
+        .groupBy(SET, "rule")
         .agg(F.array_sort(F.collect_list(F.struct("_nth", "_id"))).alias("_ids"))
-        .select("rule", F.array_join(F.transform("_ids", lambda r: F.coalesce(r["_id"], F.lit("nan"))), ", ").alias("sample_ids"))
+        .select(SET, "rule", F.array_join(F.transform("_ids", lambda r: F.coalesce(r["_id"], F.lit("nan"))), ", ").alias("sample_ids"))
     )
     return (
-        totals.join(samples, "rule", "left")
-        .orderBy("_place")
-        .select(F.lit(dataset).alias("dataset"), "rule", "violations", F.coalesce("sample_ids", F.lit("")).alias("sample_ids"))
+        totals.join(samples, [SET, "rule"], "left")
+        .orderBy(SET, "_place")
+        .select(F.col(SET).alias("dataset"), "rule", "violations", F.coalesce("sample_ids", F.lit("")).alias("sample_ids"))
     )
 
 
 # ---- profiles -----------------------------------------------------------
 
 
-def infer_types(df: DataFrame, order: str = ROW_ID, settings: Settings = SETTINGS) -> DataFrame:
+def infer_types(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), order: str = ROW_ID, settings: Settings = SETTINGS
+) -> DataFrame:
     """Likely meaning of each text column, voted by its first non-null values,
     with the first three of them."""
-    columns = columns_of(df, order)
-    long = unpivot(df, [order], columns, "string").where(F.col("value").isNotNull())
-    sample = first_k(long, ["variable"], order, settings.sample_rows).withColumn("_t", strip(F.col("value")))
+    long = unpivot(df, [*by, order], columns, "string").where(F.col("value").isNotNull())
+    sample = first_k(long, [*by, "variable"], order, settings.sample_rows).withColumn("_t", strip(F.col("value")))
 
     def share(condition: Column) -> Column:
         return F.avg(condition.cast("double"))
 
     text = F.col("_t")
-    votes = sample.groupBy("variable").agg(
+    votes = sample.groupBy(*by, "variable").agg(
         share(F.lower(text).isin(*BOOLEAN_TEXT)).alias("boolean"),
         share(text.rlike(INTEGER_TEXT)).alias("integer"),
         share(text.rlike(MONEY_TEXT)).alias("money"),
@@ -287,7 +308,7 @@ def infer_types(df: DataFrame, order: str = ROW_ID, settings: Settings = SETTING
         .otherwise("string")
     )
     examples = F.substring(F.array_join(F.transform("_first", lambda r: r["value"]), ", "), 1, 80)
-    return votes.select(F.col("variable").alias("column"), kind.alias("inferred_type"), examples.alias("examples"))
+    return votes.select(*by, F.col("variable").alias("column"), kind.alias("inferred_type"), examples.alias("examples"))
 
 
 def value_key(c: Column) -> Column:
@@ -296,21 +317,27 @@ def value_key(c: Column) -> Column:
     return F.when(F.length(c) > 64, F.concat(F.lit("sha2:"), F.sha2(c, 256))).otherwise(c)
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows, non-null and distinct values per column, by two combinable counts."""
-    long = unpivot(df, [], columns, "string")
-    values = long.groupBy("variable", value_key(F.col("value")).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    return values.groupBy(F.col("variable").alias("column")).agg(
+    long = unpivot(df, by, columns, "string")
+    values = long.groupBy(*by, "variable", value_key(F.col("value")).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return values.groupBy(*by, F.col("variable").alias("column")).agg(
         F.sum("_n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("_key").isNotNull(), F.col("_n"))), F.lit(0)).alias("non_null"),
         F.count("_key").alias("distinct"),
     )
 
 
-def profile(df: DataFrame, dataset: str, order: str = ROW_ID, settings: Settings = SETTINGS) -> DataFrame:
-    counts = distinct_counts(df, columns_of(df, order))
-    full = counts.join(infer_types(df, order, settings), "column", "left").select(
-        F.lit(dataset).alias("dataset"),
+def profile(
+    df: DataFrame, dataset: str, by: Sequence[str] = (), order: str = ROW_ID, settings: Settings = SETTINGS
+) -> DataFrame:
+    """Counts, inferred type, examples and flags of every column; a column that
+    only other tenants have shows as empty."""
+    columns = columns_of(df, order)
+    sets = labelled(df, dataset, by)
+    counts = distinct_counts(sets, columns, [SET])
+    full = counts.join(infer_types(sets, columns, [SET], order, settings), [SET, "column"], "left").select(
+        F.col(SET).alias("dataset"),
         "column",
         F.coalesce("inferred_type", F.lit("empty")).alias("inferred_type"),
         "non_null",

@@ -12,24 +12,26 @@ found by joins on keys that every matching pair shares:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from staylens.config import SETTINGS
 from staylens.functions.parsing import num
 from staylens.functions.text import sorted_tokens
-from staylens.operators.quality import ROW_ID
+from staylens.operators.quality import ROW_ID, SET, labelled
 
-BLOCK = ("_y", "_x", "_block")
+BLOCK = (SET, "_y", "_x", "_block")
 
 
 def cell_names(
-    df: DataFrame, name: str = "name", lat: str = "latitude", lon: str = "longitude",
+    df: DataFrame, dataset: str, by: Sequence[str] = (), name: str = "name", lat: str = "latitude", lon: str = "longitude",
     block: str = "room_type", cell: float = SETTINGS.geo_cell,
 ) -> DataFrame:
-    """Rows with coordinates, their cell and block, and their sorted name tokens.
-    A missing name reads `nan`, so two missing names are alike."""
+    """Rows with coordinates, their cell and block, and their sorted name tokens;
+    rows of different tenants never share a block. A missing name reads `nan`, so two missing names are alike."""
     y, x = num(F.col(lat)), num(F.col(lon))
-    return df.where(y.isNotNull() & x.isNotNull()).select(
+    return labelled(df, dataset, by).where(y.isNotNull() & x.isNotNull()).select(
         "*",
         F.rint(y / F.lit(cell)).cast("long").alias("_y"),
         F.rint(x / F.lit(cell)).cast("long").alias("_x"),
@@ -190,7 +192,7 @@ def pair_bound(names: DataFrame) -> DataFrame:
 
 
 def expand_pairs(
-    rows: DataFrame, names: DataFrame, dataset: str, id: str = "id", name: str = "name", order: str = ROW_ID
+    rows: DataFrame, names: DataFrame, id: str = "id", name: str = "name", order: str = ROW_ID
 ) -> DataFrame:
     """One row per matching pair of listings with different ids, earlier row first.
     The output is as long as the answer; `similar_names` is its compact form."""
@@ -203,12 +205,12 @@ def expand_pairs(
     swap = F.col("_a.at") > F.col("_b.at")
     first, second = F.when(swap, F.col("_b")).otherwise(F.col("_a")), F.when(swap, F.col("_a")).otherwise(F.col("_b"))
     return both.where(once & other).select(
-        F.lit(dataset).alias("dataset"),
+        F.col(SET).alias("dataset"),
         first["id"].alias("id_a"), second["id"].alias("id_b"),
         first["name"].alias("name_a"), second["name"].alias("name_b"), "score",
     )
 
 
 def fuzzy_pairs(df: DataFrame, dataset: str, id: str = "id", name: str = "name", threshold: float = SETTINGS.similarity, **cells) -> DataFrame:
-    rows = cell_names(df, name=name, **cells)
-    return expand_pairs(rows, similar_names(rows, threshold), dataset, id, name)
+    rows = cell_names(df, dataset, name=name, **cells)
+    return expand_pairs(rows, similar_names(rows, threshold), id, name)

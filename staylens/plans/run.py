@@ -14,49 +14,38 @@ from staylens.plans.answers import answer_all
 from staylens.sources import files, tables
 
 
-def city_frames(datasets: Mapping[str, DataFrame], cities: Sequence[City]) -> list[tuple[str, str, DataFrame]]:
-    """(label, dataset, rows) of each city and dataset; a partition filter each."""
-    return [
-        (f"{c.key}.{name}", name, df.where((F.col("city_key") == c.key) & (F.col("snapshot_date") == c.snapshot)))
-        for c in cities
-        for name, df in datasets.items()
-    ]
+def tenants(cities: Sequence[City]) -> tuple[str, ...]:
+    """The columns that tell tenants apart: the city, and the snapshot where some
+    city has several."""
+    return ("city_key",) if len({c.key for c in cities}) == len(cities) else clean.SNAPSHOT
 
 
-def quality_reports(datasets: Mapping[str, DataFrame], cities: Sequence[City], settings: Settings = SETTINGS) -> dict[str, DataFrame]:
-    """The profile and quality tables, one block of rows per city and dataset."""
-    frames = city_frames(datasets, cities)
-    listings = [(label, df) for label, name, df in frames if name == "listings"]
-    profiles = stack([quality.profile(df, label, settings=settings) for label, _, df in frames])
+def quality_reports(datasets: Mapping[str, DataFrame], by: Sequence[str], settings: Settings = SETTINGS) -> dict[str, DataFrame]:
+    """The profile and quality tables, one block of rows per tenant and dataset."""
+    listings = datasets["listings"]
+    every = datasets.items()
     return {
-        "profile_columns": profiles,
-        "dq_duplicates": stack([quality.duplicates(df, label, NATURAL_KEYS.get(name, ())) for label, name, df in frames]),
-        "dq_completeness": stack([quality.completeness(df, label) for label, _, df in frames]),
-        "dq_outliers": stack([quality.tukey_outliers(df, label, settings=settings) for label, df in listings]),
-        "dq_validation": stack([quality.validate(df, quality.listing_rules(df, settings), label) for label, df in listings]),
+        "profile_columns": stack([quality.profile(df, name, by, settings=settings) for name, df in every]),
+        "dq_duplicates": stack([quality.duplicates(df, name, NATURAL_KEYS.get(name, ()), by) for name, df in every]),
+        "dq_completeness": stack([quality.completeness(df, name, by=by) for name, df in every]),
+        "dq_outliers": quality.tukey_outliers(listings, "listings", by=by, settings=settings),
+        "dq_validation": quality.validate(listings, quality.listing_rules(listings, settings), "listings", by=by),
     }
 
 
-def write_near_copies(listings: DataFrame, cities: Sequence[City], out: str, settings: Settings = SETTINGS) -> dict[str, DataFrame]:
+def write_near_copies(listings: DataFrame, by: Sequence[str], out: str, settings: Settings = SETTINGS) -> dict[str, DataFrame]:
     """Members and matching names of every cell, whole; row-level pairs too unless
     there are too many to list."""
-    names, pairs = [], []
-    for label, _, df in city_frames({"listings": listings}, cities):
-        rows = similar.cell_names(df, cell=settings.geo_cell).select(
-            F.lit(label).alias("dataset"), *similar.BLOCK, "_text", "id", "name", quality.ROW_ID
-        )
-        names.append((label, rows, similar.similar_names(rows, settings.similarity)))
-    members = stack([rows for _, rows, _ in names])
-    matches = stack([found.select(F.lit(label).alias("dataset"), "*") for label, _, found in names])
-    stored = {
-        "near_copy_members": tables.write_layer(members, f"{out}/near_copy_members", ("dataset",)),
-        "near_copy_names": tables.write_layer(matches, f"{out}/near_copy_names", ("dataset",)),
-    }
-    if similar.pair_bound(stored["near_copy_names"]).first()["pairs"] <= settings.expand_pairs_max:
-        for label, _, _ in names:
-            own = {k: df.where(F.col("dataset") == label).drop("dataset") for k, df in stored.items()}
-            pairs.append(similar.expand_pairs(own["near_copy_members"], own["near_copy_names"], label))
-        stored["dq_fuzzy_duplicates"] = tables.write_rows(stack(pairs), out, "dq_fuzzy_duplicates")
+    rows = similar.cell_names(listings, "listings", by, cell=settings.geo_cell).select(
+        *similar.BLOCK, "_text", "id", "name", quality.ROW_ID
+    )
+    members = tables.write_layer(rows, f"{out}/near_copy_members", (quality.SET,))
+    names = tables.write_layer(
+        similar.similar_names(members, settings.similarity), f"{out}/near_copy_names", (quality.SET,)
+    )
+    stored = {"near_copy_members": members, "near_copy_names": names}
+    if similar.pair_bound(names).first()["pairs"] <= settings.expand_pairs_max:
+        stored["dq_fuzzy_duplicates"] = tables.write_rows(similar.expand_pairs(members, names), out, "dq_fuzzy_duplicates")
     return stored
 
 
@@ -90,14 +79,15 @@ def run(spark: SparkSession, root: str, out: str, cities: Sequence[City], settin
             raw = files.bronze(spark, root, cities, name)
             datasets[name] = tables.write_layer(raw, f"{out}/bronze/{name}", clean.SNAPSHOT)
 
+    by = tenants(cities)
     reports = {
         name: tables.write_report(df, reports_root, name)
-        for name, df in quality_reports(datasets, cities, settings).items()
+        for name, df in quality_reports(datasets, by, settings).items()
     }
     reports["profile_type_distribution"] = tables.write_report(
         quality.type_distribution(reports["profile_columns"]), reports_root, "profile_type_distribution"
     )
-    reports.update(write_near_copies(datasets["listings"], cities, reports_root, settings))
+    reports.update(write_near_copies(datasets["listings"], by, reports_root, settings))
 
     gated = tables.write_layer(clean.gated_listings(datasets["listings"], settings=settings), f"{out}/silver/gated")
     listings = tables.write_layer(clean.accepted(gated), f"{out}/silver/listings")
