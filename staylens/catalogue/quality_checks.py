@@ -250,7 +250,7 @@ def _named_parts(t, names: str = "p_name"):
 
 
 LONG_NAME = (
-    "concat(p_name, ' ', p_brand, ' with garden and view over the old town ', CAST(p_size AS STRING), ' steps from the sea')"
+    "concat(p_brand, ' house with garden and a view over the old town ', CAST(p_size AS STRING), ' steps from the sea')"
 )
 TOKENS = "array_to_string(list_sort(string_split(trim({c}), ' ')), ' ')"
 

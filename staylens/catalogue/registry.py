@@ -194,22 +194,43 @@ class Inputs:
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    """All doubles rounded, so that the order of summation cannot show."""
+    """All doubles rounded, so that the order of summation cannot show. A small
+    shift keeps means of round numbers off the rounding boundary."""
+    shift = F.lit(10.0 ** -(places + 3))
     return df.select(
         *[
-            (round_away(F.col(c), places) + F.lit(0.0)).alias(c) if kind == "double" else F.col(c)
+            round_away(F.col(c) + shift, places).alias(c) if kind == "double" else F.col(c)
             for c, kind in df.dtypes
         ]
     )
 
 
+def settled(sql: str) -> str:
+    """The same shift in each `round(x, 4)` and `round(x, 6)` of a statement."""
+    out, at = "", 0
+    for found in re.finditer(r"\bround\(", sql):
+        if found.start() < at:
+            continue
+        depth, end, comma = 1, found.end(), None
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            comma = end if depth == 1 and sql[end] == "," else comma
+            end += 1
+        places = sql[comma + 1 : end - 1].strip()
+        inner = sql[found.end() : comma]
+        out += sql[at : found.start()]
+        out += f"round(({inner}) + 1e-{int(places) + 3}, {places})" if places in "46" else sql[found.start() : end]
+        at = end
+    return out + sql[at:]
+
+
 def query(name: str, sql: str | None = None):
     """Register a function of `Inputs` as a query, with its SQL form if it has one."""
 
     def add(build: Callable[[Inputs], DataFrame]):
         QUERIES[name] = lambda spark, folder: build(Inputs(spark, folder))
         if sql is not None:
-            SQL[name] = with_views(sql)
+            SQL[name] = with_views(settled(sql))
         return build
 
     return add
