@@ -29,6 +29,16 @@ def ratio(a: Column, b: Column) -> Column:
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows where both are known; null, not an error,
+    when one of them does not vary."""
+    x, y = x.cast("double"), y.cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y))
+    covariance = F.covar_pop(x, y)
+    return covariance / F.nullif(F.sqrt(spread), F.lit(0.0))
+
+
 def band(c: Column, width: float) -> Column:
     """Lower edge of the band of this width that holds the value."""
     return F.floor(c / F.lit(float(width))).cast("double") * F.lit(float(width))

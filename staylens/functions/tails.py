@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# executors get the functions themselves and need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-300
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staylens.config import SUBSCORES
 from staylens.functions.numbers import (
-    band, day_type, distance_km, host_segment, host_type, month_start, period, ratio, round_away, tenure_bucket,
+    band, correlation, day_type, distance_km, host_segment, host_type, month_start, period, ratio, round_away, tenure_bucket,
 )
 from staylens.operators.order import (
     NEAREST, attach, counted, grouped, medians, quantiles, quantiles_of, unpivot,
@@ -280,7 +280,7 @@ def price_trend(geo: DataFrame) -> DataFrame:
     """Correlation of distance with log price and the price slope per km."""
     priced = geo.where(F.col("price").isNotNull())
     return priced.groupBy("city").agg(
-        F.corr("dist_km", F.log1p("price")).alias("corr_log_price"),
+        correlation(F.col("dist_km"), F.log1p("price")).alias("corr_log_price"),
         F.regr_slope("price", "dist_km").alias("price_per_km"),
     )
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from staylens.config import SETTINGS
 from staylens.functions.parsing import num
+from staylens.functions.similarity import common_length
 from staylens.functions.text import sorted_tokens
 from staylens.operators.quality import ROW_ID, SET, labelled
 
@@ -47,32 +48,6 @@ def allowed(la: Column, lb: Column, threshold: float) -> Column:
     return most - F.pmod(most - F.abs(la - lb), F.lit(2))
 
 
-def letters(c: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, F.lit(1)))
-
-
-def common_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two non-empty strings."""
-    other = letters(b)
-
-    def next_row(previous: Column, letter: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(b)),
-            F.array(F.lit(0)),
-            lambda row, j: F.concat(
-                row,
-                F.array(
-                    F.when(letter == F.get(other, j - 1), F.get(previous, j - 1) + 1).otherwise(
-                        F.greatest(F.get(previous, j), F.get(row, j - 1))
-                    )
-                ),
-            ),
-        )
-
-    last = F.aggregate(letters(a), F.array_repeat(F.lit(0), F.length(b) + 1), next_row)
-    return F.element_at(last, -1)
-
-
 def without(c: Column, at: Column) -> Column:
     """The string without its character at a 1-based position; whole at 0."""
     cut = F.concat(F.substring(c, F.lit(1), at - 1), F.substring(c, at + 1, F.length(c)))

@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staylens.functions.numbers import ratio
+from staylens.functions.numbers import correlation, ratio
 from staylens.functions.tails import p_chi2, p_f, p_normal, p_t
 from staylens.operators.order import attach, average_ranks, counted, medians, ranks_of
 from staylens.operators.quality import row_to_long
@@ -192,13 +192,13 @@ def two_proportion_test(df: DataFrame, flag: str, group: str, a, b) -> DataFrame
 
 def corr_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of each column with the target, strongest first."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in columns])
+    one = df.agg(*[correlation(F.col(c), F.col(target)).alias(c) for c in columns])
     long = row_to_long(one, [[("variable", F.lit(c)), ("corr", F.col(c))] for c in columns])
     return long.orderBy(F.desc(F.abs("corr")), "variable")
 
 
 def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(F.corr(a, b).alias("corr"))
+    return df.agg(correlation(F.col(a), F.col(b)).alias("corr"))
 
 
 def slope(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
@@ -213,7 +213,7 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ranks = average_ranks(whole, c).select(F.col("value").alias(c), F.col("rank").alias(f"_r{i}"))
         ranked = ranked.join(ranks, c)
     pairs = list(combinations(range(len(columns)), 2))
-    one = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"_{i}_{j}") for i, j in pairs])
+    one = ranked.agg(*[correlation(F.col(f"_r{i}"), F.col(f"_r{j}")).alias(f"_{i}_{j}") for i, j in pairs])
 
     def entry(i: int, j: int):
         rho = F.lit(1.0) if i == j else F.col(f"_{min(i, j)}_{max(i, j)}")
