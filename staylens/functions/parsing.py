@@ -6,16 +6,19 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-# Text forms of a number.
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-PLAIN_INTEGER = r"^[+-]?\d+$"
-INFINITY = r"^(?i)[+-]?inf(inity)?$"
-DAY = r"^(\d{4}-\d{1,2}-\d{1,2})(?:$|[ T].*)"
+# Text forms of a number and of a day, and the white space around them.
+NUMBER = r"^\s*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?)))\s*$"
+INTEGER = r"^\s*([+-]?[0-9]+)\s*$"
+DAY = r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})\s*(?:$|[ T].*)"
+SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not blanks only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def squeeze(c: Column) -> Column:
@@ -24,46 +27,43 @@ def squeeze(c: Column) -> Column:
 
 
 def num(c: Column) -> Column:
-    text = strip(c.cast("string"))
-    infinite = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(float("inf"))
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double")).when(
-        text.rlike(INFINITY), infinite
-    )
+    """One pattern match per value: what it does not take is empty, hence null."""
+    return F.regexp_extract(c.cast("string"), NUMBER, 1).try_cast("double")
 
 
 def whole(c: Column) -> Column:
     """64-bit integer; digits are cast directly so that long ids stay exact."""
-    text = strip(c.cast("string"))
-    value = num(text)
-    return F.when(text.rlike(PLAIN_INTEGER), text.try_cast("bigint")).when(
-        value == F.floor(value), value.try_cast("bigint")
+    value = num(c)
+    return F.coalesce(
+        F.regexp_extract(c.cast("string"), INTEGER, 1).try_cast("bigint"),
+        F.when(value == F.floor(value), value.try_cast("bigint")),
     )
 
 
 def money(c: Column) -> Column:
-    return num(F.regexp_replace(c.cast("string"), r"[$,]", ""))
+    return num(F.translate(c.cast("string"), "$,", ""))
 
 
 def percent(c: Column) -> Column:
-    return num(F.regexp_replace(c.cast("string"), r"%+$", "")) / F.lit(100.0)
+    return num(F.rtrim(c.cast("string"), F.lit("%"))) / F.lit(100.0)
 
 
 def parse_date(c: Column) -> Column:
     """Year first, with - or /, and an optional time; then month or day first;
     then English month names."""
-    text = F.regexp_replace(strip(c.cast("string")), "/", "-")
-    day = F.regexp_extract(text, DAY, 1)
+    text = F.translate(c.cast("string"), "/", "-")
+    other = strip(text)
     return F.coalesce(
-        F.try_to_date(day, "yyyy-M-d"),
+        F.try_to_date(F.regexp_extract(text, DAY, 1), "yyyy-M-d"),
         F.when(
-            F.length(day) == 0,
+            ~text.rlike(DAY),
             F.coalesce(
-                F.try_to_date(text, "yyyyMMdd"),
-                F.try_to_date(text, "M-d-yyyy"),
-                F.try_to_date(text, "d-M-yyyy"),
-                F.try_to_date(text, "MMMM d, yyyy"),
-                F.try_to_date(text, "MMM d, yyyy"),
-                F.try_to_date(text, "d MMM yyyy"),
+                F.try_to_date(other, "yyyyMMdd"),
+                F.try_to_date(other, "M-d-yyyy"),
+                F.try_to_date(other, "d-M-yyyy"),
+                F.try_to_date(other, "MMMM d, yyyy"),
+                F.try_to_date(other, "MMM d, yyyy"),
+                F.try_to_date(other, "d MMM yyyy"),
             ),
         ),
     )
