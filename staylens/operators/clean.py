@@ -12,6 +12,7 @@ from staylens.functions.parsing import boolean, canonical, money, num, parse_dat
 from staylens.functions.text import before_comma, family, tidy_words
 from staylens.operators.order import attach, keep_first, medians
 from staylens.operators.quality import ROW_ID
+from staylens.session import small_side
 
 SNAPSHOT = ("city_key", "snapshot_date")
 
@@ -72,7 +73,7 @@ def standard_columns(df: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
 
 def median_fill(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """`<c>_imputed` and `<c>_filled` with the group's exact median; the source stays."""
-    middle = medians(df, by, {f"_median_{c}": c for c in columns})
+    middle = small_side(medians(df, by, {f"_median_{c}": c for c in columns}))
     filled = attach(df, middle, list(by)).select(
         *df.columns,
         *[F.col(c).isNull().alias(f"{c}_imputed") for c in columns],

@@ -17,6 +17,7 @@ from staylens.functions.numbers import (
 from staylens.operators.order import (
     NEAREST, attach, counted, grouped, medians, quantiles, quantiles_of, unpivot,
 )
+from staylens.session import small_side
 
 
 def rows(name: str) -> Column:
@@ -260,7 +261,7 @@ def city_centres(df: DataFrame, key: str = "city") -> DataFrame:
 
 def distance_to_centre(df: DataFrame, key: str = "city", centres: DataFrame | None = None) -> DataFrame:
     """Adds the distance in km to the median point of the row's city."""
-    centres = city_centres(df, key) if centres is None else centres
+    centres = small_side(city_centres(df, key) if centres is None else centres)
     located = df.dropna(subset=["latitude", "longitude"])
     km = distance_km(F.col("latitude"), F.col("longitude"), F.col("lat0"), F.col("lon0"))
     return located.join(centres, key).withColumn("dist_km", km)
@@ -288,7 +289,7 @@ def price_trend(geo: DataFrame) -> DataFrame:
 def ratio_to_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
     """Adds value / median of its group."""
     by = list(by)
-    middle = medians(df, by, {"_median": value})
+    middle = small_side(medians(df, by, {"_median": value}))
     return attach(df, middle, by).withColumn(name, ratio(F.col(value), F.col("_median"))).drop("_median")
 
 

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staylens.functions.numbers import bucket_of
-from staylens.session import checkpoint
+from staylens.session import checkpoint, small_side
 
 LINEAR, NEAREST = "linear", "nearest"
 
@@ -170,7 +170,7 @@ def first_k(df: DataFrame, by: Sequence[str], order: str, k: int) -> DataFrame:
     """The k rows of each group that come first by a whole-number order column.
 
     Bucket counts tell how far each group has to be read; only those rows are
-    ordered.
+    shuffled and ordered.
     """
     by = list(by)
     marked = df.withColumn("_b", bucket_of(F.col(order)))
@@ -181,7 +181,7 @@ def first_k(df: DataFrame, by: Sequence[str], order: str, k: int) -> DataFrame:
         .groupBy(*by)
         .agg(F.max("_b").alias("_last"))
     )
-    rows = attach(marked, limit, by, "inner").where(F.col("_b") <= F.col("_last"))
+    rows = attach(marked, small_side(limit), by, "inner").where(F.col("_b") <= F.col("_last"))
     nth = F.row_number().over(Window.partitionBy(*by).orderBy(order))
     return rows.withColumn("_nth", nth).where(F.col("_nth") <= k).drop("_b", "_last")
 

@@ -79,7 +79,8 @@ def anova(groups: DataFrame) -> DataFrame:
 def levene(pairs: DataFrame, log: bool = False) -> DataFrame:
     """Levene's W around the medians: the F of the distances from each group's median."""
     values = pairs.select("first", (F.ln("x") if log else F.col("x")).alias("x"))
-    far = attach(values, medians(values, ["first"], {"_median": "x"}), ["first"], "inner")
+    middle = F.broadcast(medians(values, ["first"], {"_median": "x"}))  # two rows
+    far = attach(values, middle, ["first"], "inner")
     gap = F.abs(F.col("x") - F.col("_median"))
     groups = far.groupBy("first").agg(
         F.count(gap).alias("n"), F.avg(gap).alias("mean"), F.var_samp(gap).alias("var")

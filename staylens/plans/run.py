@@ -99,9 +99,15 @@ def run(spark: SparkSession, root: str, out: str, cities: Sequence[City], settin
     reviews = clean.typed_reviews(datasets["reviews"])
 
     master = tables.write_layer(enrich.build_master(listings, reviews), f"{out}/gold/master")
-    dims = warehouse.build_dims(master, calendar, reviews, cities)
-    facts = warehouse.build_facts(master, calendar, reviews, dims)
-    star = tables.write_tables({**dims, **facts}, f"{out}/warehouse")
+    # stored dimensions have a known size, by which the fact lookups choose their joins
+    dims = tables.write_tables(
+        warehouse.build_dims(master, calendar, reviews, cities), f"{out}/warehouse", check=False
+    )
+    facts = tables.write_tables(
+        warehouse.build_facts(master, calendar, reviews, dims), f"{out}/warehouse", check=False
+    )
+    star = {**dims, **facts}
+    warehouse.require_keys(star)
     counts = warehouse.table_counts(star)
 
     reports["quality_report"] = tables.write_report(

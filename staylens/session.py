@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,9 @@ DEFAULTS = {
 }
 
 
+BROADCAST_ROWS = 100_000
+
+
 def build_session(app: str = "staylens", **conf: str) -> SparkSession:
     """A session with the defaults above; the cluster's own settings (master,
     memory, shuffle partitions, checkpoint folder) come from its configuration."""
@@ -39,3 +42,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="staylens-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The lookup side of a join with a large table.
+
+    Such a side is an aggregate whose size no plan knows in advance, and without
+    a hint the large table would be shuffled on a key with few values. It is
+    computed once and counted: up to `most` rows it is broadcast, beyond that it
+    takes part in an ordinary shuffle join.
+    """
+    stored = checkpoint(df)
+    return F.broadcast(stored) if stored.count() <= most else stored
