@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from staylens.catalogue.registry import query, rounded
 from staylens.config import City
 from staylens.operators import enrich, features, market, order, quality, warehouse
+from staylens.plans import answers
 from staylens.sources import files, tables
 
 
@@ -158,10 +159,6 @@ def _cities():
     return [City(n.lower(), n, f"land-of-{n.lower().replace(' ', '-')}/old-{n.lower().replace(' ', '-')}/{n.lower()}", "2024-06-15") for n in names]
 
 
-def _master(t, *names):
-    return t.listing(*names)
-
-
 MASTER = (
     "_row_id", "id", "city_key", "snapshot_date", "host_id", "host_name", "host_since", "host_is_superhost",
     "host_identity_verified", "neighbourhood_std", "property_type_clean", "property_family", "room_type", "price",
@@ -184,7 +181,7 @@ def _(t):
     "K1_K2_host_dimension",
     """SELECT row_number() OVER (ORDER BY host_id) AS host_sk, host_id, host_name, host_since, host_is_superhost, host_identity_verified,
     CAST(NULL AS INTEGER) AS host_listings_count, CAST(NULL AS DOUBLE) AS host_tenure_years
-    FROM (SELECT *, row_number() OVER (PARTITION BY host_id ORDER BY city_key, id) AS nth FROM listing) WHERE nth = 1""",
+    FROM (SELECT *, row_number() OVER (PARTITION BY host_id ORDER BY id) AS nth FROM listing) WHERE nth = 1""",
 )
 def _(t):
     hosts = t.listing("_row_id", "city_key", "host_id", "host_name", "host_since", "host_is_superhost", "host_identity_verified")
@@ -262,6 +259,29 @@ def _(t):
     return warehouse.listing_facts(master, _dims(master))
 
 
+def _star(t):
+    """Facts and dimensions as the warehouse holds them."""
+    master = t.listing(*MASTER)
+    dims = {**_dims(master), "dim_city": warehouse.city_table(master, _cities())}
+    return {**dims, "fact_listing": warehouse.listing_facts(master, dims)}
+
+
+@query(
+    "K12_price_by_city_room_over_star",
+    "SELECT city, room_type, CAST(count(*) AS BIGINT) AS listings, round(median(price), 2) AS median_price, round(avg(review_scores_rating), 2) AS avg_rating FROM listing GROUP BY 1, 2",
+)
+def _(t):
+    return answers.QUESTIONS["price_by_city_and_room"](_star(t))
+
+
+@query(
+    "K12_superhost_premium_over_star",
+    "SELECT city, host_is_superhost, CAST(count(*) AS BIGINT) AS listings, round(median(price), 2) AS median_price FROM listing GROUP BY 1, 2",
+)
+def _(t):
+    return answers.QUESTIONS["superhost_premium"](_star(t))
+
+
 @query(
     "K7_calendar_facts",
     "SELECT listing_id, CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key, city_key, available, CAST(minimum_nights AS INTEGER) AS minimum_nights FROM cal",
@@ -273,7 +293,7 @@ def _(t):
 @query(
     "K8_review_facts",
     "SELECT review_sk, listing_id, city_key, CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key "
-    "FROM (SELECT *, row_number() OVER (ORDER BY city_key, id) AS review_sk FROM review) WHERE listing_id IS NOT NULL AND date IS NOT NULL",
+    "FROM (SELECT *, row_number() OVER (ORDER BY id) AS review_sk FROM review) WHERE listing_id IS NOT NULL AND date IS NOT NULL",
 )
 def _(t):
     return warehouse.review_facts(t.reviews("_row_id", "listing_id", "city_key", "date"))

@@ -165,9 +165,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def _view(self, source: DataFrame, columns: dict[str, str], names) -> DataFrame:
         return source.selectExpr(*[f"{columns[n]} AS {n}" for n in (names or columns)])

@@ -8,6 +8,7 @@ from staylens.catalogue.registry import query, rounded
 from staylens.config import NA_TOKENS, ROOM_TYPES
 from staylens.functions import numbers as n, parsing as p, text as x
 from staylens.operators import clean, market, order
+from staylens.session import checkpoint
 
 NUMBER = r"regexp_matches(trim({c}), '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$')"
 
@@ -138,7 +139,7 @@ GATE = f"""WITH typed AS (SELECT id, {PRICE} AS price, round({sql_number('latitu
 
 def _gated(t):
     typed = clean.standard_columns(t.raw("id", "price", "latitude", "longitude"))
-    return typed.select(F.col("id").cast("string").alias("id"), clean.reject_reason().alias("reject_reason"))
+    return checkpoint(typed.select(F.col("id").cast("string").alias("id"), clean.reject_reason().alias("reject_reason")))
 
 
 @query("P14_rejects", GATE + "SELECT id, reject_reason FROM gated WHERE reject_reason <> ''")

@@ -12,7 +12,7 @@ from staylens.functions.parsing import boolean, canonical, money, num, parse_dat
 from staylens.functions.text import before_comma, family, tidy_words
 from staylens.operators.order import attach, keep_first, medians
 from staylens.operators.quality import ROW_ID
-from staylens.session import small_side
+from staylens.session import checkpoint, small_side
 
 SNAPSHOT = ("city_key", "snapshot_date")
 
@@ -121,8 +121,9 @@ def repeats_removed(gated: DataFrame, by: Sequence[str] = SNAPSHOT) -> DataFrame
 
 
 def clean_listings(df: DataFrame, settings: Settings = SETTINGS) -> tuple[DataFrame, DataFrame]:
-    """Clean rows and rejects, as two filters over one plan."""
-    gated = gated_listings(df, settings=settings)
+    """Clean rows and rejects, as two filters over one stored frame, so that no
+    value is parsed twice."""
+    gated = checkpoint(gated_listings(df, settings=settings))
     return accepted(gated), rejected(gated)
 
 

@@ -95,7 +95,7 @@ def city_table(master: DataFrame, cities: Sequence[City]) -> DataFrame:
     )
 
 
-def host_table(master: DataFrame, order: Sequence[str] = ("city_key", ROW_ID)) -> DataFrame:
+def host_table(master: DataFrame, order: Sequence[str] = (ROW_ID, "city_key")) -> DataFrame:
     """One row per host, null included: the attributes of its first listing."""
     columns = [n for n, _ in fields_of("dim_host") if n in master.columns]
     firsts = keep_first(master.select(*dict.fromkeys([*columns, *order])), ["host_id"], order)
@@ -168,7 +168,7 @@ def listing_facts(master: DataFrame, dims: Mapping[str, DataFrame], order: str =
     facts = lookup(facts, dims["dim_room_type"], "room_type_sk", {"room_type": "room_type"})
     facts = facts.withColumnRenamed("id", "listing_id")
     wanted = [n for n, _ in fields_of("fact_listing") if n in facts.columns]
-    firsts = keep_first(facts.select(*wanted, order), ["listing_id", "snapshot_date_key"], ["city_key", order])
+    firsts = keep_first(facts.select(*wanted, order), ["listing_id", "snapshot_date_key"], [order, "city_key"])
     return in_schema(firsts, "fact_listing")
 
 
@@ -178,7 +178,7 @@ def calendar_facts(calendar: DataFrame) -> DataFrame:
     return in_schema(keyed, "fact_calendar").dropna(subset=["listing_id", "date_key"])
 
 
-def review_facts(reviews: DataFrame, order: Sequence[str] = ("city_key", ROW_ID)) -> DataFrame:
+def review_facts(reviews: DataFrame, order: Sequence[str] = (ROW_ID, "city_key")) -> DataFrame:
     """Keys are given to all reviews in stored order before bad rows are dropped."""
     numbered = dense_keys(
         reviews.select(*dict.fromkeys(["listing_id", "city_key", "date", *order])), list(order), "review_sk"

@@ -95,10 +95,19 @@ def run(spark: SparkSession, root: str, out: str, cities: Sequence[City], settin
     reports["rejected_records"] = tables.write_rows(
         rejects.select("city_key", "id", "reject_reason"), reports_root, "rejected_records"
     )
-    calendar = tables.write_layer(clean.clean_calendar(datasets["calendar"]), f"{out}/silver/calendar")
-    reviews = clean.typed_reviews(datasets["reviews"])
+    raw_calendar = datasets["calendar"] if "calendar" in datasets else files.no_rows(spark, "calendar")
+    raw_reviews = datasets["reviews"] if "reviews" in datasets else files.no_rows(spark, "reviews")
+    calendar = tables.write_layer(clean.clean_calendar(raw_calendar), f"{out}/silver/calendar")
+    reviews = clean.typed_reviews(raw_reviews)
 
     master = tables.write_layer(enrich.build_master(listings, reviews), f"{out}/gold/master")
+    typed = {"listings": listings, "calendar": calendar, "reviews": reviews}
+    reports["schema"] = tables.write_report(
+        stack([quality.describe_schema(df, name) for name, df in typed.items()]), reports_root, "schema"
+    )
+    reports["layer_drift"] = tables.write_report(
+        quality.layer_drift(datasets["listings"], master), reports_root, "layer_drift"
+    )
     # stored dimensions have a known size, by which the fact lookups choose their joins
     dims = tables.write_tables(
         warehouse.build_dims(master, calendar, reviews, cities), f"{out}/warehouse", check=False

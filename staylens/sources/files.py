@@ -117,6 +117,19 @@ def bronze(
     return whole.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
+# The columns that later steps need of a dataset that no city has.
+NEEDED = {
+    "calendar": ("listing_id", "date", "available", "minimum_nights"),
+    "reviews": ("id", "listing_id", "date"),
+}
+
+
+def no_rows(spark: SparkSession, dataset: str) -> DataFrame:
+    """The empty bronze table of an absent dataset."""
+    columns = ("city_key", "snapshot_date", *NEEDED[dataset])
+    return spark.createDataFrame([], text_schema(columns)).withColumn(ROW_ID, F.lit(0).cast("bigint"))
+
+
 def inventory(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and columns per city and dataset."""
     parts = [

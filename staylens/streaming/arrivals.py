@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from staylens.config import NA_TOKENS
 from staylens.functions.parsing import blank_to_null
+from staylens.operators.quality import ROW_ID
 from staylens.sources.files import CSV_OPTIONS
 
 
@@ -27,7 +28,6 @@ def arrivals(spark: SparkSession, root: str, name: str, schema: T.StructType) ->
     return raw.select(
         F.element_at(parts, -3).alias("city_key"),
         F.element_at(parts, -2).alias("snapshot_date"),
-        F.col("_metadata.file_path").alias("_file"),
         *[blank_to_null(F.col(c), NA_TOKENS).alias(c) for c in schema.fieldNames()],
     )
 
@@ -35,14 +35,22 @@ def arrivals(spark: SparkSession, root: str, name: str, schema: T.StructType) ->
 def load_arrivals(
     spark: SparkSession, root: str, name: str, schema: T.StructType, out: str, checkpoint: str
 ) -> None:
-    """Append the rows of all new files to a parquet table and stop."""
+    """Add the rows of all new files to the table below `out` and stop.
+
+    Each batch has its own folder, which a repeated batch overwrites, so rows are
+    stored once even if a batch is retried. A file lies in one batch and is read
+    in order, so row numbers are unique and rising within a city snapshot.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn(ROW_ID, F.monotonically_increasing_id())
+        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
     (
         arrivals(spark, root, name, schema)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("city_key", "snapshot_date")
-        .outputMode("append")
-        .format("parquet")
-        .start(out)
+        .foreachBatch(store)
+        .start()
         .awaitTermination()
     )

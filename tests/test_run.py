@@ -156,6 +156,26 @@ def test_broken_keys_stop_the_load(spark, result, tmp_path):
         tables.write_tables(broken, str(tmp_path))
 
 
+def test_documentation(result):
+    docs = {(r.dataset, r.column_name): r for r in result["schema"].collect()}
+    one = docs[("listings", "price")]
+    assert (one.data_type, one.min_value, one.max_value, one.sample_value) == ("double", "50.0", "1234.0", "1234.0")
+    assert docs[("listings", "name")].min_value == "N/A"
+    drift = {r.column: (r.in_before, r.in_after, r.added) for r in result["layer_drift"].collect()}
+    assert drift["price"] == (True, True, False) and drift["nb_density_pct"] == (False, True, True)
+
+
+def test_listings_alone_are_enough(spark, root, tmp_path):
+    import shutil
+
+    alone = tmp_path / "raw"
+    shutil.copytree(f"{root}/north/2024-06-15", alone / "north" / "2024-06-15", ignore=shutil.ignore_patterns("cal*", "rev*", "nei*"))
+    found = run(spark, str(alone), str(tmp_path / "out"), CITIES[:1])
+    assert found["fact_calendar"].isEmpty() and found["fact_review"].isEmpty()
+    assert rows(found["fact_listing"], "listing_id") == [(i,) for i in (1, 2, 3, 4)]
+    assert rows(found["dim_date"], "date_key") == [(20240615,)]
+
+
 def test_manifest_tells_new_files(spark, root):
     manifest = files.file_manifest(spark, root)
     known = manifest.where("key like 'north/%'")
@@ -180,6 +200,7 @@ def test_arrivals_load_each_file_once(spark, root, tmp_path):
     loaded = spark.read.parquet(str(tmp_path / "out"))
     assert loaded.count() == 6
     assert rows(loaded.where("city_key = 'south'"), "id", "listing_id", "date") == [("200", "7", "2024-05-05")]
+    assert [r.id for r in loaded.where("city_key = 'north'").orderBy("_row_id").collect()] == ["100", "101", "102", "103", "104"]
 
 
 def test_key_candidates(spark):
