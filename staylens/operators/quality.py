@@ -16,9 +16,11 @@ from staylens.config import MISSING_NOTES, SETTINGS, Settings
 from staylens.functions.numbers import ratio, round_even
 from staylens.functions.parsing import money, num, strip
 from staylens.operators.order import attach, counted, first_k, quantiles_of, unpivot
+from staylens.session import small_side
 
 ROW_ID = "_row_id"
 SET = "_set"
+FINGERPRINTS = 2_000_000  # 8 bytes each when broadcast
 
 # Text patterns of the inferred types.
 INTEGER_TEXT = r"^-?\d+$"
@@ -68,11 +70,12 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     """Rows beyond the first of each group of identical rows.
 
     Only an 8-byte fingerprint per row is shuffled to find groups that may
-    repeat; whole rows are compared for those alone.
+    repeat; whole rows are compared for those alone. While the repeated
+    fingerprints are few, the other rows are dropped where they are read.
     """
     marked = df.select(*by, *columns, F.xxhash64(*by, *columns).alias("_mark"))
-    sizes = marked.groupBy(*by, "_mark").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = sizes.where(F.col("_n") > 1).select("_mark").distinct()
+    sizes = marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = small_side(sizes.where(F.col("_n") > 1).select("_mark"), FINGERPRINTS)
     groups = (
         marked.join(repeated, "_mark", "left_semi")
         .groupBy(*by, *columns)
@@ -80,7 +83,7 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
         .groupBy(*by)
         .agg(F.sum("_extra").alias("_extra"))
     )
-    every = sizes.groupBy(*by).agg(F.sum("_n").alias("_rows"))
+    every = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     return attach(every, groups, by).select(*by, F.coalesce("_extra", F.lit(0)).alias("duplicate_rows"))
 
 

@@ -17,6 +17,7 @@ from staylens.functions.numbers import correlation, ratio
 from staylens.functions.tails import p_chi2, p_f, p_normal, p_t
 from staylens.operators.order import attach, average_ranks, counted, medians, ranks_of
 from staylens.operators.quality import row_to_long
+from staylens.session import small_side
 
 
 def effect_label(d: Column) -> Column:
@@ -207,12 +208,13 @@ def slope(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rank correlation of every pair of columns over rows without a null."""
+    """Rank correlation of every pair of columns over rows without a null. Rank
+    tables hold distinct values only; while they are small the rows stay put."""
     whole = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
     ranked = whole
     for i, c in enumerate(columns):
         ranks = average_ranks(whole, c).select(F.col("value").alias(c), F.col("rank").alias(f"_r{i}"))
-        ranked = ranked.join(ranks, c)
+        ranked = ranked.join(small_side(ranks, 500_000), c)
     pairs = list(combinations(range(len(columns)), 2))
     one = ranked.agg(*[correlation(F.col(f"_r{i}"), F.col(f"_r{j}")).alias(f"_{i}_{j}") for i, j in pairs])
 
