@@ -302,7 +302,7 @@ def _(t):
 @query(
     "K9_master",
     f"""WITH s AS (SELECT listing_id, count(date) AS c, max(date) - min(date) AS span FROM review WHERE listing_id IS NOT NULL GROUP BY 1), nb AS ({PROFILE})
-    SELECT id, CASE WHEN host_since <= DATE '2024-06-15' THEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) END AS host_tenure_years,
+    SELECT id, CASE WHEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) >= 0 THEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) + 0e0 END AS host_tenure_years,
     round_even(c / nullif(span / 30.44e0, 0), 3) AS review_frequency_pm, round_even(price / nullif(bedrooms, 0), 2) AS price_per_bedroom, nb_median_price, nb_density_pct
     FROM listing LEFT JOIN s ON id = listing_id LEFT JOIN nb USING (city_key, neighbourhood_std)""",
 )

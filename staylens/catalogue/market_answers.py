@@ -72,7 +72,7 @@ def _(t):
 
 @query(
     "A7_tenure_activity",
-    "WITH x AS (SELECT *, CASE WHEN host_since <= DATE '2024-06-15' THEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) END AS y FROM listing) "
+    "WITH x AS (SELECT *, CASE WHEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) >= 0 THEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) + 0e0 END AS y FROM listing) "
     "SELECT CASE WHEN y < 3 THEN '0-3y' WHEN y < 6 THEN '3-6y' WHEN y < 10 THEN '6-10y' ELSE '10y+' END AS tenure_bucket, CAST(count(*) AS BIGINT) AS listings, "
     "round(avg(number_of_reviews), 1) AS avg_reviews, round(avg(reviews_per_month), 2) AS avg_reviews_pm FROM x WHERE y IS NOT NULL GROUP BY 1",
 )

@@ -172,7 +172,7 @@ def _(t):
 
 @query(
     "P17_tenure",
-    "SELECT id, CASE WHEN host_since <= DATE '2024-06-15' THEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) END AS tenure, "
+    "SELECT id, CASE WHEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) >= 0 THEN round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2) + 0e0 END AS tenure, "
     "round(date_diff('day', host_since, DATE '2024-06-15') / CASE WHEN date_diff('day', host_since, DATE '2024-06-15') > 1460 THEN 365.25e0 ELSE 365e0 END, 2) AS tenure_calendar FROM listing",
 )
 def _(t):

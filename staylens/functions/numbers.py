@@ -49,8 +49,9 @@ def date_key(d: Column) -> Column:
 
 
 def tenure_years(since: Column, anchor: Column) -> Column:
-    """Years up to the row's own snapshot, 2 places; a later start gives null."""
-    years = round_even(F.datediff(anchor, since) / F.lit(365.25), 2)
+    """Years up to the row's own snapshot, 2 places; what is below zero after
+    rounding gives null, so a start one day later still counts as zero."""
+    years = round_even(F.datediff(anchor, since) / F.lit(365.25), 2) + F.lit(0.0)
     return F.when(years >= 0, years)
 
 

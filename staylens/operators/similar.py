@@ -60,17 +60,13 @@ def one_edit_pairs(names: DataFrame, threshold: float) -> DataFrame:
     longer = allowed(size, size - 1, threshold) >= 1
     equal = allowed(size, size, threshold) >= 2
     shorter = allowed(size + 1, size, threshold) >= 1
-    cuts = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), size), lambda i: F.struct(without(F.col("_text"), i).alias("cut"), i.alias("at"))
-        )
+    none = F.array().cast("array<int>")
+    places = F.concat(
+        F.when(shorter, F.array(F.lit(0))).otherwise(none),
+        F.when(longer | equal, F.sequence(F.lit(1), size)).otherwise(none),
     )
-    whole = F.array(F.struct(F.col("_text").alias("cut"), F.lit(0).alias("at")))
-    empty = F.slice(whole, 1, 0)
-    pieces = F.concat(F.when(shorter, whole).otherwise(empty), F.when(longer | equal, cuts).otherwise(empty))
-    keyed = names.select(*BLOCK, "_text", "_len", F.explode(pieces).alias("_p")).select(
-        *BLOCK, "_text", "_len", F.xxhash64("_p.cut").alias("_key"), (F.col("_p.at") == 0).alias("_whole"),
-        F.col("_p.at").alias("_at"),
+    keyed = names.select(*BLOCK, "_text", "_len", F.explode(places).alias("_at")).select(
+        "*", F.xxhash64(without(F.col("_text"), F.col("_at"))).alias("_key"), (F.col("_at") == 0).alias("_whole")
     )
     a = keyed.select(*BLOCK, "_key", *[F.col(c).alias(f"{c}_a") for c in ("_text", "_len", "_whole", "_at")])
     b = keyed.where("not _whole").select(*BLOCK, "_key", *[F.col(c).alias(f"{c}_b") for c in ("_text", "_len", "_at")])
