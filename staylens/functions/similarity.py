@@ -30,4 +30,6 @@ def common_length(a: Column, b: Column) -> Column:
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([common_letters(i, j) for i, j in zip(x, y)], dtype="int32")
 
-    return F.pandas_udf(run, "int")(a, b)
+    # declared so for the optimizer only: it must run once per pair, after the
+    # pairs are made distinct
+    return F.pandas_udf(run, "int").asNondeterministic()(a, b)

@@ -128,9 +128,8 @@ def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
     pairs = found.select(*BLOCK, "_one", "_two").distinct()
     la, lb = F.length("_one"), F.length("_two")
     most = allowed(la, lb, threshold)
-    close = pairs.where(F.levenshtein("_one", "_two") <= most)
     distance = la + lb - 2 * common_length(F.col("_one"), F.col("_two"))
-    return close.withColumn("_distance", distance).where(F.col("_distance") <= most)
+    return pairs.withColumn("_distance", distance).where(F.col("_distance") <= most)
 
 
 def similar_names(rows: DataFrame, threshold: float = SETTINGS.similarity) -> DataFrame:

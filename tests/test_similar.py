@@ -30,6 +30,8 @@ def brute(rows, threshold):
                     continue
                 s, t = (" ".join(sorted(str("nan" if m[2] is None else m[2]).split())) for m in (a, b))
                 joint = len(s) + len(t)
+                if 2 * min(len(s), len(t)) * 100 < threshold * joint:
+                    continue  # no more letters can be shared than the shorter name has
                 shared = subsequence(s, t)
                 if joint == 0 or 2 * shared * 100 >= threshold * joint:
                     pairs.add((a[1], b[1], 100 if joint == 0 else 2 * shared * 100 // joint))
