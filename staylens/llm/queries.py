@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.llm.exact_dedup import exact_groups
+from staylens.llm.jaccard_join import jaccard_groups
 from staylens.llm.mixing import mixed
+from staylens.llm.repeated_windows import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,3 +48,13 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
+
+
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents"), words=3, percent=90)
+
+
+@query("op10_repeated_windows")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents"))
