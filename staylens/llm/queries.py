@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from staylens.llm.exact_dedup import exact_groups
 from staylens.llm.jaccard_join import jaccard_groups
 from staylens.llm.mixing import mixed
+from staylens.llm.packing import packed
 from staylens.llm.repeated_windows import without_repeats
+from staylens.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(build):
         QUERIES[name] = build
@@ -58,3 +67,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_repeated_windows")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"))
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
