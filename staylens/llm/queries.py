@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staylens.llm.exact_dedup import exact_groups
 from staylens.llm.jaccard_join import jaccard_groups
 from staylens.llm.mixing import mixed
+from staylens.llm.mtree import top_k
 from staylens.llm.packing import packed
+from staylens.llm.quality_cnn import scored
 from staylens.llm.repeated_windows import without_repeats
+from staylens.llm.style_tree import main_text
 from staylens.llm.token_counts import token_counts
+from staylens.llm.url_lists import HOST, PATH, listed_captures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +81,97 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_token_counts")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op2_main_text")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op3_quality_scores")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+WHOLE = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+@query(
+    "op4_top_vectors",
+    f"""
+    WITH v AS (SELECT vec_id, {WHOLE} AS v FROM embeddings WHERE {FINITE}),
+    pairs AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM pairs QUALIFY rank <= 5
+    """,
+)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+# The pages are the captures. Their fetch days, and a log of entries on their hosts and
+# first path segments, follow from page ids by fixed formulas.
+FETCHED = "DATE '2024-01-01' + CAST((page_id * 37) % 365 AS INTEGER)"
+ENTRY_DAY = "DATE '2024-01-01' + CAST((g * 7 + {shift}) % 365 AS INTEGER)"
+
+
+@query(
+    "op8_url_lists",
+    f"""
+    WITH captures AS (
+        SELECT page_id, url, {FETCHED} AS fetched, lower(regexp_extract(url, '{HOST}', 1)) AS host,
+               list_filter(string_split(regexp_extract(url, '{PATH}', 1), '/'), lambda s: s <> '') AS segments
+        FROM pages
+    ),
+    named AS (
+        SELECT host AS key, min(page_id) AS g FROM captures WHERE host <> '' GROUP BY 1
+        UNION ALL
+        SELECT host || '/' || segments[1], min(page_id) FROM captures WHERE host <> '' AND len(segments) > 0 GROUP BY 1
+    ),
+    entries AS (
+        SELECT key, 'add' AS action, {ENTRY_DAY.format(shift=0)} AS since FROM named WHERE g % 3 <> 0
+        UNION SELECT key, 'remove', {ENTRY_DAY.format(shift=60)} FROM named WHERE g % 2 = 0
+        UNION SELECT key, 'add', {ENTRY_DAY.format(shift=150)} FROM named WHERE g % 5 = 0
+    ),
+    log AS (SELECT key, since, max(action) = 'add' AS listed FROM entries GROUP BY 1, 2),
+    times AS (
+        SELECT key, since, listed, lead(since) OVER (PARTITION BY key ORDER BY since) AS until FROM log
+    ),
+    keys AS (
+        SELECT DISTINCT page_id, fetched, unnest(list_concat(
+            list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+            list_transform(range(1, len(segments) + 1), lambda n: host || '/' || array_to_string(segments[1:n], '/'))
+        )) AS key
+        FROM captures WHERE host <> ''
+    ),
+    found AS (
+        SELECT page_id, count(*) AS n, min(since) AS listed_since, max_by(k.key, (length(k.key), k.key)) AS matched
+        FROM keys k JOIN times t ON k.key = t.key AND listed AND since <= fetched AND (until IS NULL OR fetched < until)
+        GROUP BY 1
+    )
+    SELECT c.page_id, c.url, c.fetched, coalesce(n, 0) AS n_active, n IS NOT NULL AS blocked, listed_since, matched
+    FROM captures c LEFT JOIN found USING (page_id)
+    """,
+)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    captures = table(spark, folder, "pages").selectExpr("page_id", "url", f"{FETCHED} AS fetched")
+    host = F.lower(F.regexp_extract("url", HOST, 1))
+    first = F.filter(F.split(F.regexp_extract("url", PATH, 1), "/"), lambda s: s != "")
+    sited = captures.select("page_id", host.alias("host"), F.get(first, F.lit(0)).alias("first")).where("host <> ''")
+    named = sited.groupBy(F.col("host").alias("key")).agg(F.min("page_id").alias("g")).unionByName(
+        sited.where("first IS NOT NULL")
+        .groupBy(F.concat("host", F.lit("/"), "first").alias("key"))
+        .agg(F.min("page_id").alias("g"))
+    )
+    entries = None
+    for action, shift, which in (("add", 0, "g % 3 <> 0"), ("remove", 60, "g % 2 = 0"), ("add", 150, "g % 5 = 0")):
+        part = named.where(which).selectExpr("key", f"'{action}' AS action", f"{ENTRY_DAY.format(shift=shift)} AS since")
+        entries = part if entries is None else entries.unionByName(part)
+    return listed_captures(captures, entries)
