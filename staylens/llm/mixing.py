@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staylens.llm.store import if_small, spread, written
+from staylens.llm.store import if_small, spread, whole, written
 from staylens.operators.order import dense_keys
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -180,17 +180,18 @@ def rounded_up(rated: DataFrame, targets: DataFrame) -> DataFrame:
 def mixed(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = int(MOST), seed: int = 1,
+    with_source: bool = False,
 ) -> DataFrame:
     """id, `size`, `source_size`, `target` (its source's), `rate`, `copies`,
-    `taken` (size times copies) of every row."""
+    `taken` (size times copies) of every row, and with `with_source` the source."""
     size = word_count(text)
     sized = written(docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), size.alias("size")))
     last = F.col("source").isNull()
     names = sized.groupBy(last.alias("last"), "source").agg(F.count(F.lit(1)).alias("rows"))
     numbers = written(dense_keys(names, ["last", "source"], "source_no").select("source", "source_no"))
     by_number = F.col("source").eqNullSafe(F.col("source_"))
-    rows = sized.join(if_small(numbers.withColumnRenamed("source", "source_"), 64), by_number).drop("source_", "source")
-    rows = written(rows)
+    rows = sized.join(if_small(numbers.withColumnRenamed("source", "source_"), 64), by_number).drop("source_")
+    rows = written(rows if with_source else rows.drop("source"))
     counts = written(rows.groupBy("source_no", "size").agg(F.count(F.lit(1)).alias("n")))
     totals = counts.select("source_no", (F.col("size") * F.col("n")).alias("size"))
     state = tilts(counts, source_targets(totals, weights, share, most), most)
@@ -218,5 +219,24 @@ def mixed(
         .select(
             F.col("doc_id").alias(id), "size", "source_size", "target", "rate", "copies",
             (F.col("copies") * F.col("size")).alias("taken"),
+            *([F.col("source").alias(source)] if with_source else []),
         )
     )
+
+
+def mixture(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """`docs` as the mix takes them: every row as often as its copies say."""
+    plan = written(
+        mixed(docs, id, text, source, with_source=True, **options)
+        .select(F.col(id).alias("_id"), F.col(source).alias("_source"), F.col("size").alias("_size"), "copies")
+        .where("copies > 0")
+        .distinct()
+    )
+    # rows with the same id, source and size have the same number of copies
+    same = (
+        F.col(f"all.`{id}`").eqNullSafe(F.col("_id"))
+        & F.col(f"all.`{source}`").eqNullSafe(F.col("_source"))
+        & (word_count(f"all.`{text}`") == F.col("_size"))
+    )
+    chosen = whole(docs).join(if_small(plan, 64), same)
+    return chosen.select("all", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("all.*")

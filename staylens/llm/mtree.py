@@ -227,12 +227,11 @@ def top_k(
     rows = written(prepared(vectors).withColumn("square", square))
     # a row per vector length
     squares = {r["dim"]: float(r["most"]) for r in rows.groupBy("dim").agg(F.max("square").alias("most")).collect()}
-    routes = {
-        dim: np.array(
-            [r["v"] for r in rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(ROUTES).collect()], np.float64
-        ).reshape(-1, dim)
-        for dim in squares
-    }
+    routes = {}
+    for dim in squares:
+        # at most ROUTES rows
+        chosen = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(ROUTES).collect()
+        routes[dim] = np.array([r["v"] for r in chosen], np.float64).reshape(len(chosen), dim)
     near = "id long, v array<bigint>, dim int, route int, far double"
     own = routed(routes, squares)
     placed = written(rows.select("id", "v", "dim").mapInArrow(own, near))

@@ -221,16 +221,17 @@ def held_out(id: str) -> Column:
 
 def fitted(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, most: int = MOST) -> Network | float:
     """The network for the labelled documents outside the held-out third."""
+    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(id)).select(F.col(id).alias("_id"), F.col(label).alias("_label"))
-    there = known.join(docs.select(F.col(id).alias("_id")).distinct(), "_id", "left_semi")
+    there = known.join(docs.select(F.col("doc_id").alias("_id")).distinct(), "_id", "left_semi")
     order = F.xxhash64("_id")
     picked = None
     for value in (0, 1):
         part = there.where(F.col("_label") == value).orderBy(order, "_id").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     # at most 2 * most rows
-    rows = docs.join(F.broadcast(picked), docs[id] == F.col("_id")).select(
-        F.col("_label").cast("int").alias("label"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"),
+    rows = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(
+        F.col("_label").cast("int").alias("label"), F.coalesce("text", F.lit("")).cast("binary").alias("body"),
     ).mapInArrow(sample_chunks, "label int, chunks array<binary>").limit(4 * most)
     sample = sorted((r["label"], [bytes(c) for c in r["chunks"]]) for r in rows.collect())
     return trained(sample)

@@ -35,6 +35,12 @@ def if_small(stored: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(stored) if stored.count() * row_bytes <= BROADCAST_BYTES else stored
 
 
+def whole(df: DataFrame) -> DataFrame:
+    """Each row as one column `all`, so that working columns cannot clash with its own;
+    `select("all.*")` unpacks it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("all"))
+
+
 def clear_of(columns: Sequence[str], *names: str) -> list[str]:
     """Working column names that do not clash with the columns of a table."""
     taken, out = {c.lower() for c in columns}, []
