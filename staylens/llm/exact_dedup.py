@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staylens.llm.store import if_small, written
+from staylens.llm.store import if_small, whole, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = 4096
@@ -35,8 +35,13 @@ def ascii_lower(text: str | Column) -> Column:
 
 def named(parts: DataFrame, *keys: str) -> DataFrame:
     """Distinct keys with integer names in sorted order. The names are written, so
-    that a task that runs again cannot number them anew."""
-    order = parts.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
+    that a task that runs again cannot number them anew.
+
+    Rows are dealt to tasks by the order of (start, hash), so that the sample which
+    sets the bounds of the tasks holds no whole blocks."""
+    start = [F.substring(k, 1, 16) if kind == "binary" else F.col(k) for k, kind in parts.select(*keys).dtypes]
+    place = [*start, F.xxhash64(*keys)]
+    order = parts.select(*keys).distinct().repartitionByRange(*place).sortWithinPartitions(*place, *keys)
     return written(order.select(*keys, F.monotonically_increasing_id().alias("name")))
 
 
@@ -88,8 +93,10 @@ def copies(docs: DataFrame, id: str = "doc_id", text: str = "text", block: int =
     texts = repeated.select(F.col("_row").alias("row"), F.encode(ascii_lower(text), "UTF-8").alias("body"))
     names = identities(texts, block)
     member = written(names.join(repeated.select(F.col("_row").alias("row"), F.col(id).alias("id")), "row"))
-    groups = member.groupBy("rounds", "name").agg(
-        F.max(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("group_size")
+    groups = written(
+        member.groupBy("rounds", "name").agg(
+            F.max(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("group_size")
+        )
     )
     found = member.join(groups, ["rounds", "name"]).select(
         F.col("row").alias("_row"),
@@ -117,5 +124,5 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", block:
 
 def without_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """`docs` with one row of each group of equal texts, the one with the largest id."""
-    single, repeated = copies(docs, id, text, block)
-    return single.unionByName(repeated.where("_group.kept").drop("_group"))
+    single, repeated = copies(whole(docs), f"all.`{id}`", f"all.`{text}`", block)
+    return single.unionByName(repeated.where("_group.kept").drop("_group")).select("all.*")
