@@ -39,8 +39,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from staylens.llm.store import if_small, written
-from staylens.llm.text_bytes import mix, shingle_set, signed, texts_of
+from staylens.llm.store import if_small, whole, written
+from staylens.llm.text_bytes import binaries, mix, shingle_sets, signed
 from staylens.operators.geo import components
 
 _U = np.uint64
@@ -67,10 +67,12 @@ class Rule:
         """Sizes from, to (exclusive), parts and spare parts of the k-th size range."""
         low = 1 if k == 0 else self.range_at(k - 1)[1]
         high = max(low + 1, int(low * GROWTH))
-        differ = 2 * (high - 1) - 2 * self.least_overlap(2 * (high - 1))
+        # members of only one of two sets: at most their total less twice the least overlap
+        differ = 2 * (high - 1) * (100 - self.percent) // (100 + self.percent)
         spare = 0 if differ == 0 else 1 + differ // 64
         return low, high, differ + 1 + spare, spare
 
+    @lru_cache(maxsize=1 << 14)  # noqa: B019
     def ranges_for(self, size: int) -> list[int]:
         """Ranges of the larger set of any pair this size can link in."""
         k, found = 0, []
@@ -92,6 +94,11 @@ def edges(parts: int) -> np.ndarray:
     return np.array([(j << 64) // parts for j in range(1, parts)], np.uint64)
 
 
+@lru_cache(maxsize=4096)
+def numbers(k: int, parts: int) -> np.ndarray:
+    return _U(k << 32) + np.arange(parts, dtype=np.uint64)
+
+
 def node_of(members: np.ndarray) -> int:
     return int(signed(mix(mix(members).sum(dtype=np.uint64, keepdims=True) + _U(len(members))))[0])
 
@@ -103,19 +110,25 @@ def part_keys(members: np.ndarray, rule: Rule) -> Iterator[np.ndarray]:
         _, _, parts, spare = rule.range_at(k)
         if parts == 1:
             continue  # only equal sets link here, and they are one node
-        cut = np.concatenate(([0], np.searchsorted(members, edges(parts)), [len(members)]))
-        count = np.diff(cut)
-        keys = mix(mix(sums[cut[1:]] - sums[cut[:-1]] + count.astype(np.uint64)) + _U(k << 32) + np.arange(parts, dtype=np.uint64))
-        full = count > 0
-        yield keys if parts - int(full.sum()) > spare else keys[full]
+        cut = np.empty(parts + 1, np.int64)
+        cut[0], cut[-1] = 0, len(members)
+        cut[1:-1] = np.searchsorted(members, edges(parts))
+        total, count = sums[cut], cut[1:] - cut[:-1]
+        keys = mix(mix(total[1:] - total[:-1] + count.view(np.uint64)) + numbers(k, parts))
+        full = np.flatnonzero(count)
+        yield keys if parts - len(full) > spare else keys[full]
+
+
+def sets_in(batch: pa.RecordBatch, rule: Rule) -> Iterator[np.ndarray]:
+    data, starts = binaries(batch.column(batch.schema.get_field_index("body")))
+    return shingle_sets(data, starts, rule.words)
 
 
 def described(rule: Rule):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, nodes = [], []
-            for text in texts_of(batch, "body"):
-                members = shingle_set(text, rule.words)
+            for members in sets_in(batch, rule):
                 sizes.append(len(members))
                 nodes.append(node_of(members))
             yield pa.RecordBatch.from_arrays(
@@ -130,8 +143,7 @@ def parts_of(rule: Rule):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, nodes, held = [], [], 0
-            for text in texts_of(batch, "body"):
-                members = shingle_set(text, rule.words)
+            for members in sets_in(batch, rule):
                 if not len(members):
                     continue
                 node = node_of(members)
@@ -157,8 +169,7 @@ def pair_batch(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatc
 def sets_of(rule: Rule):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(texts_of(batch, "body")):
-                members = shingle_set(text, rule.words)
+            for i, members in enumerate(sets_in(batch, rule)):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, 1), batch.column(1).slice(i, 1),
@@ -317,9 +328,14 @@ def candidate_clusters(texts: DataFrame, rule: Rule) -> DataFrame:
     """`node`, `cluster`, `weight` (parts shared with others) of the nodes that may
     link with another."""
     parts = texts.select("body").mapInArrow(parts_of(rule), "key long, node long")
-    met = parts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    met = written(
+        parts.groupBy("key")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low < high")
+        .select("key", "low")
+    )
     star = (
-        parts.join(met.select("key", "low"), "key")
+        parts.join(if_small(met, 16), "key")
         .groupBy("node", "low")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
@@ -349,23 +365,25 @@ def set_links(texts: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
         chosen.mapInArrow(sets_of(rule), "cluster long, node long, n long, members binary").dropDuplicates(["node"])
     )
     pivots = clusters.groupBy("cluster").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
-    centre = pivots.join(
-        sets.select(F.col("node").alias("pivot"), F.col("members").alias("middle")), "pivot"
+    centre = written(
+        pivots.join(sets.select(F.col("node").alias("pivot"), F.col("members").alias("middle")), "pivot")
     )
     tested = sets.join(centre, "cluster").select("cluster", "node", "members", "middle", "pivot")
     near = written(tested.mapInArrow(pivot_links(rule), "cluster long, node long, pivot long, near boolean"))
     by_pivot = near.where("near and node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     # what the pivot did not reach meets its cluster, page by page
     far = near.where("not near")
-    marked = sets.join(far.select("cluster").distinct(), "cluster", "left_semi").join(
+    open_ = written(far.select("cluster").distinct())
+    marked = sets.join(if_small(open_, 8), "cluster", "left_semi").join(
         near.select("node", "near", "pivot"), "node"
     ).where("node <> pivot")
     size_class = F.floor(F.log("n") / F.log(F.lit(100.0 / rule.percent)) + 1e-9).cast("int")
     marked = marked.withColumn("size_class", size_class)
-    totals = marked.groupBy("cluster", "size_class").agg(
-        F.ceil(F.sum("n") / PAGE_SHINGLES).cast("int").alias("pages")
+    marked = written(marked)
+    totals = written(
+        marked.groupBy("cluster", "size_class").agg(F.ceil(F.sum("n") / PAGE_SHINGLES).cast("int").alias("pages"))
     )
-    paged = marked.join(totals, ["cluster", "size_class"]).withColumn(
+    paged = marked.join(if_small(totals, 16), ["cluster", "size_class"]).withColumn(
         "page", F.pmod(F.xxhash64("node"), F.col("pages")).cast("int")
     )
     entry = F.struct("node", "near", "members")
@@ -380,23 +398,44 @@ def set_links(texts: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     return by_pivot.unionByName(tiles.mapInArrow(tile_links(rule), "a long, b long"))
 
 
-def jaccard_groups(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
-) -> DataFrame:
-    """id, `n_shingles`, `component_id` (smallest id that links reach) of every row."""
-    rule = Rule(words, percent)
+def grouped_rows(docs: DataFrame, id: str, text: str, rule: Rule) -> DataFrame:
+    """`doc_id`, `mark` (of the text), `n`, `first` (smallest id of the component)."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(body).alias("mark"), body.alias("body"))
     rows = written(texts.mapInArrow(described(rule), "doc_id long, mark long, n long, node long"))
     links = written(set_links(texts, rows.where("n > 0").select("doc_id", "mark", "node"), rule))
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-    labels = components(nodes, links).select("node", "label")
-    labelled = written(rows.where("n > 0").join(labels, "node", "left").select(
-        "doc_id", "n", F.coalesce("label", "node").alias("label")
-    ))
-    first = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    some = labelled.join(first, "label").select(F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), "component_id")
-    none = rows.where("n = 0").select(
-        F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
+    labels = written(components(nodes, links).select("node", "label"))
+    labelled = written(
+        rows.where("n > 0").join(if_small(labels, 16), "node", "left").select(
+            "doc_id", "mark", "n", F.coalesce("label", "node").alias("label")
+        )
+    )
+    first = written(labelled.groupBy("label").agg(F.min("doc_id").alias("first")))
+    some = labelled.join(if_small(first, 16), "label").select("doc_id", "mark", "n", "first")
+    return some.unionByName(rows.where("n = 0").select("doc_id", "mark", "n", F.col("doc_id").alias("first")))
+
+
+def jaccard_groups(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """id, `n_shingles`, `component_id` (smallest id that links reach) of every row."""
+    return grouped_rows(docs, id, text, Rule(words, percent)).select(
+        F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), F.col("first").alias("component_id")
+    )
+
+
+def without_near_copies(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """`docs` with one document of each component, the one with the smallest id. Rows
+    that repeat an id and its text stay or go together."""
+    rows = grouped_rows(docs, id, text, Rule(words, percent))
+    gone = written(
+        rows.where(~F.col("doc_id").eqNullSafe(F.col("first")))
+        .select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"))
+        .distinct()
     )
-    return some.unionByName(none)
+    mark = F.xxhash64(F.coalesce(F.col(f"all.`{text}`"), F.lit("")).cast("binary"))
+    same = F.col(f"all.`{id}`").cast("long").eqNullSafe(F.col("_doc_id")) & (mark == F.col("_mark"))
+    return whole(docs).join(if_small(gone, 16), same, "left_anti").select("all.*")

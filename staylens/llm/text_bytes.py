@@ -11,6 +11,11 @@ _U = np.uint64
 BASE = _U(0x9E3779B97F4A7C15)
 INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 CODES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+LETTERS = CODES.copy()
+LETTERS[65:91] = LETTERS[97:123]
+WORD = np.ones(256, bool)
+WORD[[32, *range(9, 14)]] = False
+SLAB = 1 << 20
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -69,39 +74,74 @@ def binaries(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[starts[0] : starts[-1]], starts - starts[0]
 
 
-def word_hashes(text: np.ndarray) -> np.ndarray:
-    """Hashes of the words (runs of bytes other than space and 9 to 13) of one text
-    in order, with A-Z lower-cased."""
-    blank = (text == 32) | ((text >= 9) & (text <= 13))
-    word = np.flatnonzero(~blank)
-    if not len(word):
-        return np.zeros(0, np.uint64)
-    first = np.flatnonzero(np.diff(word, prepend=-2) > 1)
-    letters = text[word]
-    letters = np.where((letters >= 65) & (letters <= 90), letters + 32, letters)
-    sizes = np.diff(np.append(first, len(word)))
-    at = np.arange(len(word)) - np.repeat(first, sizes)
-    return mix(np.add.reduceat(CODES[letters] * powers(BASE, int(sizes.max()))[at], first) + sizes.astype(np.uint64))
-
-
-def shingle_set(text: np.ndarray, words: int) -> np.ndarray:
-    """The sorted distinct hashes of all runs of `words` words; a shorter text is one
-    run, a text without words has none."""
-    hashes = word_hashes(text)
-    if not len(hashes):
-        return hashes
-    run = min(words, len(hashes))
-    total = np.zeros(len(hashes) - run + 1, np.uint64)
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (runs of bytes other than space and 9 to 13, A-Z as a-z) of
+    texts that stand one after another, and where each text's words begin."""
+    word = WORD[data]
+    begin, end = word.copy(), word.copy()
+    begin[1:] &= ~word[:-1]
+    end[:-1] &= ~word[1:]
+    inner = starts[1:-1]
+    inner = inner[(inner > 0) & (inner < len(data))]
+    begin[inner] = word[inner]
+    end[inner - 1] = word[inner - 1]
+    first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(LETTERS[data] * powers(BASE, len(data)), out=sums[1:])
+    found = (sums[last] - sums[first]) * powers(INVERSE, len(data) + 1)[first] + (last - first).astype(np.uint64)
+    return mix(found), np.searchsorted(first, starts)
+
+
+def long_text(text: np.ndarray) -> np.ndarray:
+    """`word_hashes` of one text of any length, stretch by stretch."""
+    out, at = [], 0
+    while at < len(text):
+        upto = min(len(text), at + SLAB)
+        while upto < len(text):
+            # a stretch ends at white space
+            blank = np.flatnonzero(~WORD[text[upto : upto + SLAB]])
+            if len(blank):
+                upto += int(blank[0])
+                break
+            upto = min(len(text), upto + SLAB)
+        out.append(word_hashes(text[at:upto], np.array([0, upto - at]))[0])
+        at = upto
+    return np.concatenate(out)
+
+
+def shingled(hashes: np.ndarray, run: int) -> np.ndarray:
+    """Hashes of all runs of `run` words."""
+    count = len(hashes) - run + 1
+    total = np.zeros(max(0, count), np.uint64)
     for i in range(run):
-        total = mix(total + hashes[i : len(hashes) - run + 1 + i] * _U(2 * i + 1)) + _U(run)
-    return np.unique(mix(total))
+        total = mix(total + hashes[i : count + i] * _U(2 * i + 1)) + _U(run)
+    return mix(total)
+
+
+def shingle_sets(data: np.ndarray, starts: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of `words` words; a shorter
+    text is one run, a text without words has none."""
+    none, at = np.zeros(0, np.uint64), 0
+    while at < len(starts) - 1:
+        upto = max(at + 1, int(np.searchsorted(starts, starts[at] + SLAB, side="right")) - 1)
+        own = starts[at : upto + 1] - starts[at]
+        part = data[starts[at] : starts[upto]]
+        if len(part) > SLAB:
+            hashes = long_text(part)
+            bounds = np.array([0, len(hashes)])
+        else:
+            hashes, bounds = word_hashes(part, own)
+        runs = shingled(hashes, words)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if b - a >= words:
+                own_runs = np.sort(runs[a : b - words + 1])
+                new = np.ones(len(own_runs), bool)
+                np.not_equal(own_runs[1:], own_runs[:-1], out=new[1:])
+                yield own_runs[new]
+            else:
+                yield shingled(hashes[a:b], b - a) if b > a else none
+        at = upto
 
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
-
-
-def texts_of(batch: pa.RecordBatch, name: str) -> Iterator[np.ndarray]:
-    data, starts = binaries(batch.column(batch.schema.get_field_index(name)))
-    for a, b in zip(starts[:-1], starts[1:]):
-        yield data[a:b]
