@@ -202,8 +202,8 @@ def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
 def shared_classes(texts: DataFrame, depth: int) -> DataFrame:
     """The first digit: classes of windows whose anchor occurs more than once."""
     runs = written(texts.mapInArrow(runs_of(depth), RUNS))
-    often = runs.groupBy("anchor").count().where("count > 1").select("anchor")
-    shared = runs.join(often, "anchor", "left_semi")
+    often = written(runs.groupBy("anchor").count().where("count > 1").select("anchor"))
+    shared = runs.join(if_small(often, 8), "anchor", "left_semi")
     listed = written(
         shared.groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "first", "n", "off")).alias("runs"))
     )
@@ -219,10 +219,10 @@ def repeated_windows(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
         shared_classes(texts, depth).withColumn("sides", F.xxhash64("low", "n", "head", "tail"))
     )
     spans = written(classes.groupBy("name", "sides", "low", "n", "head", "tail").agg(F.count(F.lit(1)).alias("times")))
-    names = spans.groupBy("name").agg(F.sum("times").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    several = written(spans.groupBy("name").count().where("count > 1").select("name"))
     full = F.expr("shiftleft(shiftleft(1L, n) - 1L, low)")
     whole = spans.where("times > 1").select("name", "sides", full.alias("bits"))
-    mixed = spans.join(names.where("kinds > 1").select("name"), "name", "left_semi")
+    mixed = spans.join(if_small(several, 8), "name", "left_semi")
     # one row per window of the classes whose sides differ
     window = F.explode(F.sequence(F.col("low"), F.col("low") + F.col("n") - 1))
     i = F.col("i") - F.col("low")
@@ -233,7 +233,7 @@ def repeated_windows(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
         ).alias("rest"),
     )
     single = written(single)
-    more = single.groupBy("name", "i", "rest").agg(F.sum("times").alias("all")).where("all > 1").drop("all")
+    more = written(single.groupBy("name", "i", "rest").agg(F.sum("times").alias("all")).where("all > 1").drop("all"))
     parted = (
         single.where("times = 1")
         .join(more, ["name", "i", "rest"], "left_semi")
