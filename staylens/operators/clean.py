@@ -6,13 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staylens.config import ROOM_TYPES, SETTINGS, SUBSCORES, Settings
+from staylens.config import ROOM_TYPES, SUBSCORES
 from staylens.functions.numbers import round_even
 from staylens.functions.parsing import boolean, canonical, money, num, parse_date, percent, strip, whole
 from staylens.functions.text import before_comma, family, tidy_words
-from staylens.operators.order import attach, keep_first, medians
+from staylens.operators.order import attach, medians
 from staylens.operators.quality import ROW_ID
-from staylens.session import checkpoint, small_side
 
 SNAPSHOT = ("city_key", "snapshot_date")
 
@@ -39,8 +38,9 @@ FLAG_COLUMNS = ("host_is_superhost", "host_identity_verified")
 FILLED_COLUMNS = ("bedrooms", "beds")
 
 
-def standard_columns(df: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
-    """Every parser in one projection; columns that are absent are skipped."""
+def standard_columns(df: DataFrame, places: int = 6) -> DataFrame:
+    """Every parser in one projection; columns that are absent are skipped.
+    Coordinates are rounded to `places`."""
     have = set(df.columns)
     parsed: dict[str, Column] = {}
     for name in ("id", "host_id"):
@@ -56,7 +56,7 @@ def standard_columns(df: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
         parsed[name] = F.coalesce(boolean(F.col(name)), F.lit(False))
     parsed["room_type"] = canonical(F.col("room_type"), ROOM_TYPES)
     for name in ("latitude", "longitude"):
-        parsed[name] = round_even(num(F.col(name)), settings.coord_places)
+        parsed[name] = round_even(num(F.col(name)), places)
     added: dict[str, Column] = {
         f"{name}_missing": F.col(name).isNull() for name in FLAG_COLUMNS if name in have
     }
@@ -73,7 +73,7 @@ def standard_columns(df: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
 
 def median_fill(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """`<c>_imputed` and `<c>_filled` with the group's exact median; the source stays."""
-    middle = small_side(medians(df, by, {f"_median_{c}": c for c in columns}))
+    middle = medians(df, by, {f"_median_{c}": c for c in columns})
     filled = attach(df, middle, list(by)).select(
         *df.columns,
         *[F.col(c).isNull().alias(f"{c}_imputed") for c in columns],
@@ -82,31 +82,39 @@ def median_fill(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Dat
     return filled
 
 
-def reject_reason(settings: Settings = SETTINGS) -> Column:
+def reject_reason(
+    prices: tuple[float, float] = (0.0, 50_000.0), latitudes: tuple[float, float] = (-90.0, 90.0),
+    longitudes: tuple[float, float] = (-180.0, 180.0),
+) -> Column:
     """Reasons in a fixed order; a null price passes, null coordinates do not."""
     price, lat, lon = F.col("price"), F.col("latitude"), F.col("longitude")
     rules = (
-        ("bad_price;", price <= settings.price_min),
-        ("price_over_max;", price > settings.price_max),
-        ("bad_latitude;", lat.isNull() | (lat < settings.lat_min) | (lat > settings.lat_max)),
-        ("bad_longitude;", lon.isNull() | (lon < settings.lon_min) | (lon > settings.lon_max)),
+        ("bad_price;", price <= prices[0]),
+        ("price_over_max;", price > prices[1]),
+        ("bad_latitude;", lat.isNull() | ~lat.between(*latitudes)),
+        ("bad_longitude;", lon.isNull() | ~lon.between(*longitudes)),
     )
     return F.concat(*[F.when(rule, name).otherwise("") for name, rule in rules])
 
 
-def gated_listings(df: DataFrame, by: Sequence[str] = SNAPSHOT, settings: Settings = SETTINGS) -> DataFrame:
+def gated_listings(df: DataFrame, by: Sequence[str] = SNAPSHOT) -> DataFrame:
     """All rows, typed, with `reject_reason` ("" for good rows). The fill medians
     are those of the whole city snapshot, rejected rows included."""
-    typed = standard_columns(df, settings)
+    typed = standard_columns(df)
     fill = [c for c in FILLED_COLUMNS if c in df.columns]
     filled = median_fill(typed, by, fill) if fill else typed
-    return filled.withColumn("reject_reason", reject_reason(settings))
+    return filled.withColumn("reject_reason", reject_reason())
 
 
 def accepted(gated: DataFrame, by: Sequence[str] = SNAPSHOT, order: str = ROW_ID) -> DataFrame:
     """Good rows, the first of each listing id per snapshot."""
     good = gated.where(F.col("reject_reason") == "").drop("reject_reason")
-    return keep_first(good, [*by, "id"], [order])
+    # only keys and row numbers are shuffled to find the rows that repeat an id
+    first = good.groupBy(*by, "id").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    later = attach(good.select(*by, "id", order), first.where("_n > 1"), [*by, "id"], "inner").where(
+        F.col(order) > F.col("_first")
+    )
+    return good.join(later.select(F.col(order).alias("_later")), F.col(order) == F.col("_later"), "left_anti")
 
 
 def rejected(gated: DataFrame) -> DataFrame:
@@ -120,13 +128,6 @@ def repeats_removed(gated: DataFrame, by: Sequence[str] = SNAPSHOT) -> DataFrame
     return groups.groupBy(*by).agg(F.sum("_extra").alias("pk_duplicates_removed"))
 
 
-def clean_listings(df: DataFrame, settings: Settings = SETTINGS) -> tuple[DataFrame, DataFrame]:
-    """Clean rows and rejects, as two filters over one stored frame, so that no
-    value is parsed twice."""
-    gated = checkpoint(gated_listings(df, settings=settings))
-    return accepted(gated), rejected(gated)
-
-
 def clean_calendar(df: DataFrame) -> DataFrame:
     """Typed calendar days; rows without a listing or a date are dropped."""
     parsed = {

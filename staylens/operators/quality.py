@@ -12,15 +12,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from staylens.config import MISSING_NOTES, SETTINGS, Settings
+from staylens.config import MISSING_NOTES
 from staylens.functions.numbers import ratio, round_even
 from staylens.functions.parsing import money, num, strip
 from staylens.operators.order import attach, counted, first_k, quantiles_of, unpivot
-from staylens.session import small_side
 
 ROW_ID = "_row_id"
 SET = "_set"
-FINGERPRINTS = 2_000_000  # 8 bytes each when broadcast
+
+# Fields with outlier fences.
+OUTLIER_FIELDS = ("price", "minimum_nights", "number_of_reviews", "availability_365", "reviews_per_month")
 
 # Text patterns of the inferred types.
 INTEGER_TEXT = r"^-?\d+$"
@@ -75,7 +76,7 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     """
     marked = df.select(*by, *columns, F.xxhash64(*by, *columns).alias("_mark"))
     sizes = marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = small_side(sizes.where(F.col("_n") > 1).select("_mark"), FINGERPRINTS)
+    repeated = sizes.where(F.col("_n") > 1).select("_mark")
     groups = (
         marked.join(repeated, "_mark", "left_semi")
         .groupBy(*by, *columns)
@@ -175,15 +176,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def tukey_outliers(
     df: DataFrame,
     dataset: str,
-    fields: Sequence[str] | None = None,
-    factor: float | None = None,
+    fields: Sequence[str] = OUTLIER_FIELDS,
+    factor: float = 1.5,
     by: Sequence[str] = (),
-    settings: Settings = SETTINGS,
 ) -> DataFrame:
     """Values outside q1 - k·IQR .. q3 + k·IQR per field; counts come from the
     same table of distinct values as the quartiles."""
-    factor = settings.iqr_factor if factor is None else factor
-    fields = [f for f in (fields or settings.outlier_fields) if f in df.columns]
+    fields = [f for f in fields if f in df.columns]
     typed = labelled(df, dataset, by).select(
         SET, *[as_number(df, f, money if f == "price" else num).alias(f) for f in fields]
     )
@@ -222,24 +221,24 @@ def tukey_outliers(
 # ---- rules --------------------------------------------------------------
 
 
-def listing_rules(df: DataFrame, settings: Settings = SETTINGS) -> dict[str, Column]:
+def listing_rules(
+    df: DataFrame, prices: tuple[float, float] = (0.0, 50_000.0), latitudes: tuple[float, float] = (-90.0, 90.0),
+    longitudes: tuple[float, float] = (-180.0, 180.0), most_nights: int = 1125,
+) -> dict[str, Column]:
     """Domain rules as violation conditions, for the columns that exist."""
     rules: dict[str, Column] = {}
     if "price" in df.columns:
         price = as_number(df, "price", money)
         rules["price_present"] = price.isNull()
-        rules["price_gt_0"] = price <= settings.price_min
-        rules["price_lt_max"] = price > settings.price_max
-    for name, low, high in (
-        ("latitude", settings.lat_min, settings.lat_max),
-        ("longitude", settings.lon_min, settings.lon_max),
-    ):
+        rules["price_gt_0"] = price <= prices[0]
+        rules["price_lt_max"] = price > prices[1]
+    for name, (low, high) in (("latitude", latitudes), ("longitude", longitudes)):
         if name in df.columns:
             value = as_number(df, name)
             rules[f"{name}_in_range"] = (value < low) | (value > high)
     if "minimum_nights" in df.columns:
         nights = as_number(df, "minimum_nights")
-        rules["minimum_nights_sane"] = (nights < 1) | (nights > settings.min_nights_max)
+        rules["minimum_nights_sane"] = (nights < 1) | (nights > most_nights)
     return rules
 
 
@@ -280,12 +279,12 @@ def validate(
 
 
 def infer_types(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), order: str = ROW_ID, settings: Settings = SETTINGS
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), order: str = ROW_ID, voters: int = 1000
 ) -> DataFrame:
-    """Likely meaning of each text column, voted by its first non-null values,
-    with the first three of them."""
+    """Likely meaning of each text column, voted by its first `voters` non-null
+    values, with the first three of them."""
     long = unpivot(df, [*by, order], columns, "string").where(F.col("value").isNotNull())
-    sample = first_k(long, [*by, "variable"], order, settings.sample_rows).withColumn("_t", strip(F.col("value")))
+    sample = first_k(long, [*by, "variable"], order, voters).withColumn("_t", strip(F.col("value")))
 
     def share(condition: Column) -> Column:
         return F.avg(condition.cast("double"))
@@ -332,14 +331,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
 
 
 def profile(
-    df: DataFrame, dataset: str, by: Sequence[str] = (), order: str = ROW_ID, settings: Settings = SETTINGS
+    df: DataFrame, dataset: str, by: Sequence[str] = (), order: str = ROW_ID,
+    sparse_pct: float = 40.0, id_ratio: float = 0.9, few: int = 1,
 ) -> DataFrame:
     """Counts, inferred type, examples and flags of every column; a column that
     only other tenants have shows as empty."""
     columns = columns_of(df, order)
     sets = labelled(df, dataset, by)
     counts = distinct_counts(sets, columns, [SET])
-    full = counts.join(infer_types(sets, columns, [SET], order, settings), [SET, "column"], "left").select(
+    full = counts.join(infer_types(sets, columns, [SET], order), [SET, "column"], "left").select(
         F.col(SET).alias("dataset"),
         "column",
         F.coalesce("inferred_type", F.lit("empty")).alias("inferred_type"),
@@ -350,12 +350,12 @@ def profile(
         round_even(F.col("distinct") / F.col("rows"), 4).alias("cardinality_ratio"),
         F.coalesce("examples", F.lit("")).alias("examples"),
     )
-    id_like = (F.col("cardinality_ratio") >= settings.id_like_ratio) & F.col("inferred_type").isin("string", "integer")
-    constant = (F.col("non_null") > 0) & (F.col("distinct") <= settings.constant_max_distinct)
+    id_like = (F.col("cardinality_ratio") >= id_ratio) & F.col("inferred_type").isin("string", "integer")
+    constant = (F.col("non_null") > 0) & (F.col("distinct") <= few)
     flags = F.concat_ws(
         "|",
         F.when(constant, "constant"),
-        F.when(F.col("_pct") >= settings.high_null_pct, "high_null"),
+        F.when(F.col("_pct") >= sparse_pct, "high_null"),
         F.when(id_like, "likely_id_or_freetext"),
     )
     return full.select(

@@ -16,18 +16,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staylens.config import SETTINGS
 from staylens.functions.parsing import num
 from staylens.functions.similarity import common_length
 from staylens.functions.text import sorted_tokens
+from staylens.operators.order import attach
 from staylens.operators.quality import ROW_ID, SET, labelled
 
 BLOCK = (SET, "_y", "_x", "_block")
+CELL_DEGREES, SIMILARITY = 0.0005, 98.0
 
 
 def cell_names(
     df: DataFrame, dataset: str, by: Sequence[str] = (), name: str = "name", lat: str = "latitude", lon: str = "longitude",
-    block: str = "room_type", cell: float = SETTINGS.geo_cell,
+    block: str = "room_type", cell: float = CELL_DEGREES,
 ) -> DataFrame:
     """Rows with coordinates, their cell and block, and their sorted name tokens;
     rows of different tenants never share a block. A missing name reads `nan`, so two missing names are alike."""
@@ -128,11 +129,13 @@ def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
     pairs = found.select(*BLOCK, "_one", "_two").distinct()
     la, lb = F.length("_one"), F.length("_two")
     most = allowed(la, lb, threshold)
+    # a replaced letter costs 1 here and 2 there, so this never drops a match
+    close = pairs.where(F.levenshtein("_one", "_two") <= most)
     distance = la + lb - 2 * common_length(F.col("_one"), F.col("_two"))
-    return pairs.withColumn("_distance", distance).where(F.col("_distance") <= most)
+    return close.withColumn("_distance", distance).where(F.col("_distance") <= most)
 
 
-def similar_names(rows: DataFrame, threshold: float = SETTINGS.similarity) -> DataFrame:
+def similar_names(rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Matching pairs of different token strings and repeated equal ones, with the
     score and the number of rows on either side. Linear in the distinct names."""
     names = rows.groupBy(*BLOCK, "_text").agg(F.count(F.lit(1)).alias("_rows"))
@@ -152,12 +155,27 @@ def similar_names(rows: DataFrame, threshold: float = SETTINGS.similarity) -> Da
     return pairs.join(sizes_one, [*BLOCK, "_one"]).join(sizes_two, [*BLOCK, "_two"])
 
 
-def pair_bound(names: DataFrame) -> DataFrame:
-    """Row pairs that the name pairs stand for, before equal ids are left out."""
+def pair_count(rows: DataFrame, names: DataFrame, id: str = "id") -> DataFrame:
+    """How many row pairs with different ids the name pairs stand for, counted
+    without listing them; a missing id differs from every other."""
     same = F.col("_one") == F.col("_two")
     a, b = F.col("rows_a"), F.col("rows_b")
-    return names.agg(
-        F.coalesce(F.sum(F.when(same, a * (a - 1) / 2).otherwise(a * b)), F.lit(0.0)).cast("long").alias("pairs")
+    all_pairs = names.agg(F.sum(F.when(same, a * (a - 1) / 2).otherwise(a * b)).alias("_all"))
+    ids = rows.where(F.col(id).isNotNull()).groupBy(*BLOCK, "_text", F.col(id).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    alike = ids.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("_alike"))
+    left = ids.select(*BLOCK, F.col("_text").alias("_one"), "_id", F.col("_n").alias("_na"))
+    right = ids.select(*BLOCK, F.col("_text").alias("_two"), "_id", F.col("_n").alias("_nb"))
+    crossed = (
+        names.where(~same).select(*BLOCK, "_one", "_two")
+        .join(left, [*BLOCK, "_one"])
+        .join(right, [*BLOCK, "_two", "_id"])
+        .agg(F.sum(F.col("_na") * F.col("_nb")).alias("_crossed"))
+    )
+    zero = F.lit(0)
+    return attach(attach(all_pairs, alike, ()), crossed, ()).select(
+        (F.coalesce("_all", zero) - F.coalesce("_alike", zero) - F.coalesce("_crossed", zero)).cast("long").alias("pairs")
     )
 
 
@@ -181,6 +199,6 @@ def expand_pairs(
     )
 
 
-def fuzzy_pairs(df: DataFrame, dataset: str, id: str = "id", name: str = "name", threshold: float = SETTINGS.similarity, **cells) -> DataFrame:
+def fuzzy_pairs(df: DataFrame, dataset: str, id: str = "id", name: str = "name", threshold: float = SIMILARITY, **cells) -> DataFrame:
     rows = cell_names(df, dataset, name=name, **cells)
     return expand_pairs(rows, similar_names(rows, threshold), id, name)

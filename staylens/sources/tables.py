@@ -26,6 +26,12 @@ def write_layer(df: DataFrame, path: str, by: Sequence[str] = ("city_key",)) ->
     return back.select(*df.columns)
 
 
+def write_snapshots(df: DataFrame, path: str, by: Sequence[str], keep: bool) -> None:
+    """Write the partitions that `df` has rows of; with `keep` the others stay."""
+    mode = "dynamic" if keep else "static"
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path)
+
+
 def write_tables(tables: Mapping[str, DataFrame], root: str, check: bool = True) -> dict[str, DataFrame]:
     """Overwrite the given warehouse tables in load order, columns in schema order.
 
@@ -43,10 +49,6 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, check: bool = True)
     return stored
 
 
-def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, f"{root}/{name}") for name in TABLES}
-
-
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make the tables visible to `spark.sql`."""
     for name, df in tables.items():

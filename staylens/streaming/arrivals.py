@@ -7,29 +7,38 @@ files that are already there.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from staylens.config import NA_TOKENS
-from staylens.functions.parsing import blank_to_null
 from staylens.operators.quality import ROW_ID
-from staylens.sources.files import CSV_OPTIONS
+from staylens.sources import files
 
+LISTED = "path string, modificationTime timestamp, length long, content binary"
 
-def arrivals(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    """Stream of one dataset's rows, tagged from their path `<city>/<snapshot>/<name>`."""
-    raw = (
-        spark.readStream.options(**CSV_OPTIONS)
+
+def arrivals(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Stream of the paths of one dataset's files; their content is not read here."""
+    listed = (
+        spark.readStream.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name)
-        .schema(schema)
-        .csv(root)
-    )
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    return raw.select(
-        F.element_at(parts, -3).alias("city_key"),
-        F.element_at(parts, -2).alias("snapshot_date"),
-        *[blank_to_null(F.col(c), NA_TOKENS).alias(c) for c in schema.fieldNames()],
+        .schema(LISTED)
+        .load(root)
     )
+    return listed.select(files.own_path().alias("url"))
+
+
+def rows_of(spark: SparkSession, paths: list[str], schema: T.StructType, after: int) -> DataFrame | None:
+    """Rows of the files with the columns of the schema, found by name, tagged and
+    numbered from `after` + 1 on."""
+    marked = [(r["url"], r["header"]) for r in files.marks(spark, paths).orderBy("url").collect()]
+    found = files.bronze(spark, marked, after)
+    if found is None:
+        return None
+    named = [
+        F.col(f"`{c}`") if c in found.columns else F.lit(None).cast("string").alias(c) for c in schema.fieldNames()
+    ]
+    return found.select("city_key", "snapshot_date", *named, ROW_ID)
 
 
 def load_arrivals(
@@ -38,16 +47,26 @@ def load_arrivals(
     """Add the rows of all new files to the table below `out` and stop.
 
     Each batch has its own folder, which a repeated batch overwrites, so rows are
-    stored once even if a batch is retried. A file lies in one batch and is read
-    in order, so row numbers are unique and rising within a city snapshot.
+    stored once even if a batch is retried. Row numbers go on after those of earlier
+    batches, so they are unique over batches and rise within a file.
     """
 
+    def last_before(number: int) -> int:
+        try:
+            stored = spark.read.parquet(out)
+        except AnalysisException:  # nothing is stored yet
+            return -1
+        return stored.where(F.col("batch") < number).agg(F.max(ROW_ID)).first()[0] or -1
+
     def store(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn(ROW_ID, F.monotonically_increasing_id())
-        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        # one row per new file
+        paths = [r["url"] for r in batch.collect()]
+        rows = rows_of(spark, paths, schema, last_before(number)) if paths else None
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     (
-        arrivals(spark, root, name, schema)
+        arrivals(spark, root, name)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(store)

@@ -123,7 +123,9 @@ def test_reports(result):
     assert rows(result["dq_duplicates"].where("method = 'primary_key' and duplicate_rows > 0"), "dataset", "duplicate_rows") == [
         ("north.calendar", 1), ("north.listings", 1),
     ]
-    assert rows(result["dq_fuzzy_duplicates"], "dataset", "id_a", "id_b", "score") == [("north.listings", "1", "2", 100)]
+    assert rows(result["near_copy_names"], "_set", "score", "rows_a", "rows_b") == [("north.listings", 100, 2, 2)]
+    assert rows(result["near_copy_pairs"], "pairs") == [(1,)]
+    assert rows(result["repeats_removed"], "city_key", "pk_duplicates_removed") == [("north", 1), ("south", 0)]
     broken = rows(result["dq_validation"].where("violations > 0"), "dataset", "rule", "violations", "sample_ids")
     assert ("north.listings", "minimum_nights_sane", 1, "3") in broken
     assert ("north.listings", "price_present", 1, "4") in broken
@@ -135,11 +137,12 @@ def test_reports(result):
     assert {s[0] for s in sections} == set("1234567")
     assert result["manifest"].count() == 8
     assert rows(result["answers"], "ok") == [(True,)] * 7
+    assert rows(result["hypotheses"], "ok") == [(True,)] * 5
 
 
 def test_second_run_gives_the_same(spark, root, result, tmp_path_factory):
     again = run(spark, root, str(tmp_path_factory.mktemp("again")), CITIES)
-    for name in (*warehouse.TABLES, "dq_fuzzy_duplicates", "dq_validation", "profile_columns"):
+    for name in (*warehouse.TABLES, "near_copy_pairs", "dq_validation", "profile_columns"):
         assert rows(again[name], *again[name].columns) == rows(result[name], *result[name].columns), name
 
 
@@ -182,8 +185,91 @@ def test_manifest_tells_new_files(spark, root):
     assert files.new_files(manifest, known).count() == 4
     assert files.new_files(manifest, known, force=True).count() == 8
     assert files.file_manifest(spark, root, known).where("reused").count() == 4
-    gaps = files.missing_files(spark, root, [*CITIES, City("west", "West", "a/b/c", "2024-01-01")])
-    assert gaps.count() == 4
+    gaps = files.missing_files(manifest, [*CITIES, City("west", "West", "a/b/c", "2024-01-01")])
+    assert rows(gaps, "error") == [("not found",)] * 4
+    one = {r.key: r for r in manifest.collect()}["south/2024-06-16/listings.csv.gz"]
+    assert one.header == SOUTH_HEAD and one.bytes > 0 and one.digest.startswith("3-")
+
+
+def test_runs_read_only_new_files(spark, root, tmp_path):
+    import shutil
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    shutil.copytree(root, raw, ignore=shutil.ignore_patterns("south"))
+    first = run(spark, raw, out, CITIES)
+    assert rows(first["loaded"], "files") == [(4,)]
+    assert first["manifest"].where("error = 'not found'").count() == 4
+    assert rows(run(spark, raw, out, CITIES)["loaded"], "files") == [(0,)]
+    shutil.copytree(f"{root}/south/2024-06-16", f"{raw}/south/2024-06-16", ignore=shutil.ignore_patterns("cal*", "rev*", "nei*"))
+    third = run(spark, raw, out, CITIES)
+    assert rows(third["loaded"], "files") == [(1,)]
+    assert rows(third["listings"], "id") == [(i,) for i in (1, 2, 3, 4, 7, 8)]
+    assert rows(run(spark, raw, out, CITIES, force=True)["loaded"], "files") == [(5,)]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    """Reordered, added and missing columns, in the batch read and in the stream."""
+    texts = {"a/2024-01-01": "id,price,beds\n1,10,2\n", "b/2024-01-01": "id,beds,price\n2,3,20\n", "c/2024-01-02": "more,id\nx,3\n"}
+    for folder, text in texts.items():
+        (tmp_path / "raw" / folder).mkdir(parents=True)
+        (tmp_path / "raw" / folder / "listings.csv").write_text(text)
+    schema = files.text_schema(["id", "price", "beds"])
+    want = [("1", "10", "2"), ("2", "20", "3"), ("3", None, None)]
+    paths = [str(tmp_path / "raw" / f / "listings.csv") for f in texts]
+    assert rows(files.read_raw(spark, paths, schema), "id", "price", "beds") == want
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    load_arrivals(spark, str(tmp_path / "raw"), "listings.csv", schema, out, state)
+    (tmp_path / "raw" / "a" / "2024-02-01").mkdir()
+    (tmp_path / "raw" / "a" / "2024-02-01" / "listings.csv").write_text("price,id\n7,4\n")
+    load_arrivals(spark, str(tmp_path / "raw"), "listings.csv", schema, out, state)
+    stored = spark.read.parquet(out)
+    assert rows(stored, "id", "price", "beds") == [*want, ("4", "7", None)]
+    assert stored.select("_row_id").distinct().count() == 4
+
+
+def test_many_equal_names_are_counted(spark):
+    """A crowded cell gives one row per name, and the exact number of pairs."""
+    from staylens.operators import similar
+
+    listed = [(i, str(i % 40), "sunny flat", 1.0, 2.0, "x") for i in range(2000)] + [(9000, None, "sunny flat", 1.0, 2.0, "x")]
+    df = spark.createDataFrame(listed, "_row_id long, id string, name string, latitude double, longitude double, room_type string")
+    members = similar.cell_names(df, "set")
+    names = similar.similar_names(members)
+    assert rows(names, "rows_a", "score") == [(2001, 100)]
+    assert rows(similar.pair_count(members, names), "pairs") == [(2001 * 2000 // 2 - 40 * (50 * 49 // 2),)]
+
+
+def test_price_model(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    from staylens.operators import models
+    from staylens.plans.price_model import model_table, price_model
+
+    kinds = ["Entire home/apt", "Private room", None, "Shared room"]
+    data = [
+        (i, 100.0 + 60 * (i % 4) + 30 * (i % 7) if i % 11 else None, "Ward %d" % (i % 6), kinds[i % 4], float(i % 7) if i % 5 else None,
+         '["Fast Wifi", "TV"]' if i % 2 else "[]", "ETV/1" if i % 3 else None, "text", float(i * 7919 % 13))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(
+        data, "id long, price double, neighbourhood_std string, room_type string, beds double, amenities string, license string, name string, noise double"
+    )
+    table = model_table(df)
+    assert table.rows.count() == len([r for r in data if r[1] is not None])
+    assert table.values["room_type"] == ["Private room", "Shared room"]
+    assert {"beds", "beds_imputed", "has_wifi", "license", "room_type_flags"} <= set(table.names)
+    assert not {"noise", "name", "id", "price"} & set(table.names)
+    small = {"Linear Regression": models.linear, "Boosted Trees": lambda: GBTRegressor(maxIter=5, seed=1)}
+    found = price_model(df, candidates=small, final=models.linear, folds=3)
+    scores = {r.model: r.rmse for r in found["model_scores"].collect()}
+    assert set(scores) == set(small) and max(scores.values()) < 0.4
+    assert found["model_held_out"].first()["rmse"] < 0.4
+
+
+def test_catalogue_tables(spark, result, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS staylens_saved LOCATION '{tmp_path}/saved'")
+    tables.save_as_tables({n: result[n] for n in warehouse.TABLES}, "staylens_saved")
+    assert spark.table("staylens_saved.dim_city").count() == 2
 
 
 def test_inferred_read(spark, root):
