@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staylens.catalogue.registry import query, rounded
-from staylens.config import City
+from staylens.config import SUBSCORES, City
 from staylens.operators import enrich, features, market, order, quality, warehouse
 from staylens.plans import answers
+from staylens.session import checkpoint
 from staylens.sources import files, tables
 
 
@@ -179,7 +180,7 @@ def _(t):
 
 @query(
     "K1_K2_host_dimension",
-    """SELECT row_number() OVER (ORDER BY host_id) AS host_sk, host_id, host_name, host_since, host_is_superhost, host_identity_verified,
+    """SELECT row_number() OVER (ORDER BY host_id NULLS FIRST) AS host_sk, host_id, host_name, host_since, host_is_superhost, host_identity_verified,
     CAST(NULL AS INTEGER) AS host_listings_count, CAST(NULL AS DOUBLE) AS host_tenure_years
     FROM (SELECT *, row_number() OVER (PARTITION BY host_id ORDER BY id) AS nth FROM listing) WHERE nth = 1""",
 )
@@ -228,7 +229,7 @@ def _(t):
     return warehouse.foreign_key_violations(t.table("events"), "events", "user_id", parents, "customer", "c_custkey")
 
 
-FACT = """WITH h AS (SELECT host_id, row_number() OVER (ORDER BY host_id) AS host_sk FROM (SELECT DISTINCT host_id FROM listing)),
+FACT = """WITH h AS (SELECT host_id, row_number() OVER (ORDER BY host_id NULLS FIRST) AS host_sk FROM (SELECT DISTINCT host_id FROM listing)),
     nb AS (SELECT city_key, neighbourhood_std, row_number() OVER (ORDER BY city_key, neighbourhood_std) AS neighbourhood_sk FROM (SELECT DISTINCT city_key, neighbourhood_std FROM listing)),
     p AS (SELECT *, row_number() OVER (ORDER BY property_type_clean, property_family) AS property_sk FROM (SELECT DISTINCT property_type_clean, property_family FROM listing)),
     r AS (SELECT room_type, row_number() OVER (ORDER BY room_type) AS room_type_sk FROM (SELECT DISTINCT room_type FROM listing))
@@ -238,7 +239,7 @@ FACT = """WITH h AS (SELECT host_id, row_number() OVER (ORDER BY host_id) AS hos
     CAST(estimated_occupancy_l365d AS INTEGER) AS estimated_occupancy_l365d, estimated_revenue_l365d, CAST(NULL AS DOUBLE) AS review_frequency_pm,
     CAST(NULL AS DOUBLE) AS review_scores_accuracy, CAST(NULL AS DOUBLE) AS review_scores_cleanliness, CAST(NULL AS DOUBLE) AS review_scores_checkin,
     CAST(NULL AS DOUBLE) AS review_scores_communication, CAST(NULL AS DOUBLE) AS review_scores_location, CAST(NULL AS DOUBLE) AS review_scores_value
-    FROM listing JOIN h USING (host_id) JOIN nb ON nb.city_key = listing.city_key AND nb.neighbourhood_std = listing.neighbourhood_std
+    FROM listing JOIN h ON h.host_id IS NOT DISTINCT FROM listing.host_id JOIN nb ON nb.city_key = listing.city_key AND nb.neighbourhood_std = listing.neighbourhood_std
     JOIN p ON p.property_type_clean = listing.property_type_clean AND p.property_family = listing.property_family JOIN r USING (room_type)"""
 
 
@@ -261,9 +262,21 @@ def _(t):
 
 def _star(t):
     """Facts and dimensions as the warehouse holds them."""
-    master = t.listing(*MASTER)
-    dims = {**_dims(master), "dim_city": warehouse.city_table(master, _cities())}
-    return {**dims, "fact_listing": warehouse.listing_facts(master, dims)}
+    from staylens.operators.enrich import derived_measures
+
+    master = enrich.with_neighbourhoods(derived_measures(t.listing(*MASTER, *SUBSCORES)))
+    profile = [c for c in master.columns if c.startswith("nb_")]
+    dims = {**_dims(master.drop(*profile)), "dim_city": warehouse.city_table(master, _cities())}
+    dims["dim_neighbourhood"] = warehouse.in_schema(warehouse.neighbourhood_table(master), "dim_neighbourhood")
+    calendar = t.calendar("listing_id", "date", "city_key", "available", "minimum_nights")
+    star = {
+        **dims,
+        "dim_date": warehouse.date_table([(calendar, "date")]),
+        "fact_listing": warehouse.listing_facts(master, dims),
+        "fact_calendar": warehouse.calendar_facts(calendar),
+    }
+    # stored, as the answers read tables
+    return {name: checkpoint(df) for name, df in star.items()}
 
 
 @query(
@@ -276,12 +289,65 @@ def _(t):
 
 @query(
     "K12_superhost_premium_over_star",
-    "SELECT city, host_is_superhost, CAST(count(*) AS BIGINT) AS listings, round(median(price), 2) AS median_price FROM listing GROUP BY 1, 2",
+    "WITH h AS (SELECT host_id, arg_min(host_is_superhost, id) AS host_is_superhost FROM listing GROUP BY 1) "
+    "SELECT city, h.host_is_superhost, CAST(count(*) AS BIGINT) AS listings, round(median(price), 2) AS median_price "
+    "FROM listing l JOIN h ON h.host_id IS NOT DISTINCT FROM l.host_id GROUP BY 1, 2",
 )
 def _(t):
     return answers.QUESTIONS["superhost_premium"](_star(t))
 
 
+TENURE = "round_even(date_diff('day', host_since, DATE '2024-06-15') / 365.25e0, 2)"
+PER_HOST = "(SELECT host_id, arg_min(host_since, id) AS host_since FROM listing GROUP BY 1)"
+
+
+@query(
+    "K12_top_neighbourhoods_over_star",
+    """WITH nb AS (SELECT city, neighbourhood, CAST(count(id) AS INTEGER) AS listings, round_even(median(price), 2) AS median_price FROM listing GROUP BY 1, 2)
+    SELECT city, neighbourhood, listings, median_price, round(sum(estimated_revenue_l365d), 2) AS est_total_revenue,
+    round(avg(CAST(estimated_occupancy_l365d AS INTEGER)), 1) AS avg_occupied_nights FROM listing JOIN nb USING (city, neighbourhood)
+    WHERE estimated_revenue_l365d IS NOT NULL GROUP BY 1, 2, 3, 4 ORDER BY 5 DESC, 1, 2 LIMIT 10""",
+)
+def _(t):
+    return answers.QUESTIONS["top_neighbourhoods_by_revenue"](_star(t))
+
+
+@query(
+    "K12_price_by_family_over_star",
+    "SELECT property_family, CAST(count(*) AS BIGINT) AS listings, round(quantile_cont(price, 0.25), 2) AS p25, round(median(price), 2) AS p50, "
+    "round(quantile_cont(price, 0.75), 2) AS p75 FROM listing GROUP BY 1",
+)
+def _(t):
+    return answers.QUESTIONS["price_by_property_family"](_star(t))
+
+
+@query(
+    "K12_tenure_and_reviews_over_star",
+    f"WITH h AS (SELECT host_id, CASE WHEN {TENURE} >= 0 THEN {TENURE} + 0e0 END AS y FROM {PER_HOST}), "
+    "x AS (SELECT y, number_of_reviews, reviews_per_month FROM listing l JOIN h ON h.host_id IS NOT DISTINCT FROM l.host_id) "
+    "SELECT CASE WHEN y < 3 THEN '0-3y' WHEN y < 6 THEN '3-6y' WHEN y < 10 THEN '6-10y' ELSE '10y+' END AS tenure_bucket, CAST(count(*) AS BIGINT) AS listings, "
+    "round(avg(number_of_reviews), 1) AS avg_reviews, round(avg(reviews_per_month), 2) AS avg_reviews_pm FROM x WHERE y IS NOT NULL GROUP BY 1",
+)
+def _(t):
+    return answers.QUESTIONS["tenure_and_reviews"](_star(t))
+
+
+@query(
+    "K12_monthly_availability_over_star",
+    "SELECT city, year, month, CAST(count(*) AS BIGINT) AS listing_days, round(avg(CASE WHEN available THEN 1e0 ELSE 0e0 END), 3) AS avail_rate FROM cal GROUP BY 1, 2, 3",
+)
+def _(t):
+    return answers.QUESTIONS["monthly_availability"](_star(t))
+
+
+@query(
+    "K12_subscores_over_star",
+    "SELECT city, " + ", ".join(f"round(avg(review_scores_{s}), 3) AS {s}" for s in ("cleanliness", "location", "communication", "value")) + " FROM listing GROUP BY 1",
+)
+def _(t):
+    return answers.QUESTIONS["subscores_by_city"](_star(t))
+
+
 @query(
     "K7_calendar_facts",
     "SELECT listing_id, CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key, city_key, available, CAST(minimum_nights AS INTEGER) AS minimum_nights FROM cal",

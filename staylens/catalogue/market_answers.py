@@ -113,7 +113,10 @@ def _(t):
 
 # ---- distributions ------------------------------------------------------
 
-SUMMARY = ("price", "bedrooms", "reviews_per_month", "availability_365", "host_id")
+SUMMARY = (
+    "price", "bedrooms", "accommodates", "number_of_reviews", "reviews_per_month", "review_scores_rating", *SUBSCORES,
+    "availability_365", "minimum_nights", "estimated_occupancy_l365d", "estimated_revenue_l365d", "host_id",
+)
 
 
 def summary_sql(c: str) -> str:
@@ -196,10 +199,10 @@ def _(t):
 
 
 TYPED = """(SELECT l.*, CASE WHEN n = 1 THEN 'Casual' ELSE 'Professional' END AS host_type FROM listing l
-    JOIN (SELECT host_id, count(*) AS n FROM listing GROUP BY 1) s USING (host_id) WHERE price IS NOT NULL)"""
+    JOIN (SELECT host_id, count(*) AS n FROM listing GROUP BY 1) s ON l.host_id IS NOT DISTINCT FROM s.host_id WHERE price IS NOT NULL)"""
 
 
-@query("J9_host_size_join", f"SELECT id, n_listings, host_type FROM (SELECT l.id, CAST(n AS BIGINT) AS n_listings, CASE WHEN n = 1 THEN 'Casual' ELSE 'Professional' END AS host_type FROM listing l JOIN (SELECT host_id, count(*) AS n FROM listing GROUP BY 1) s USING (host_id) WHERE price IS NOT NULL)")
+@query("J9_host_size_join", f"SELECT id, n_listings, host_type FROM (SELECT l.id, CAST(n AS BIGINT) AS n_listings, CASE WHEN n = 1 THEN 'Casual' ELSE 'Professional' END AS host_type FROM listing l JOIN (SELECT host_id, count(*) AS n FROM listing GROUP BY 1) s ON l.host_id IS NOT DISTINCT FROM s.host_id WHERE price IS NOT NULL)")
 def _(t):
     return market.host_type_frame(t.listing("id", "host_id", "price")).select("id", "n_listings", "host_type")
 

@@ -6,22 +6,27 @@ from pyspark.sql import functions as F
 
 from staylens.catalogue.registry import RAW, query
 from staylens.catalogue.scalars import PRICE, sql_number
+from staylens.config import MISSING_NOTES
 from staylens.operators import quality, similar
 
-PROFILED = ("price", "day", "rate", "flag", "status", "constant", "nothing", "minimum_nights", "id")
+PROFILED = tuple(c for c in RAW if c != "_row_id")
 
 
 def long_sql(view: str, columns) -> str:
     return " UNION ALL ".join(f"SELECT _row_id, '{c}' AS variable, {c} AS value FROM {view}" for c in columns)
 
 
+TWICE = "(SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 3 = 0)"
+
+
 @query(
     "D1_exact_duplicates",
-    "SELECT 'lines' AS dataset, 'exact_row' AS method, '<all columns>' AS key, CAST((SELECT count(*) FROM lineitem) - "
-    "(SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_returnflag FROM lineitem)) AS BIGINT) AS duplicate_rows",
+    "SELECT 'events' AS dataset, 'exact_row' AS method, '<all columns>' AS key, "
+    f"CAST((SELECT count(*) FROM {TWICE}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {TWICE})) AS BIGINT) AS duplicate_rows",
 )
 def _(t):
-    return quality.duplicates(t.table("lineitem").select("l_orderkey", "l_returnflag"), "lines")
+    events = t.table("events")
+    return quality.duplicates(events.unionByName(events.where("event_id % 3 = 0")), "events")
 
 
 @query(
@@ -40,7 +45,7 @@ def _(t):
     "WITH m AS (" + " UNION ALL ".join(
         f"SELECT '{c}' AS field, CAST(count(*) - count({c}) AS BIGINT) AS missing, count(*) AS n FROM raw" for c in PROFILED
     ) + ") SELECT 'raw' AS dataset, field, missing, round_even(missing * 100e0 / n, 2) AS missing_pct, "
-    "CASE WHEN field = 'price' THEN 'missing price is fatal for revenue metrics -- such rows are dropped, not imputed' ELSE '' END AS implication "
+    "CASE " + " ".join(f"WHEN field = '{c}' THEN '{note.replace(chr(39), chr(39) * 2)}'" for c, note in MISSING_NOTES.items()) + " ELSE '' END AS implication "
     "FROM m WHERE missing > 0",
 )
 def _(t):
@@ -154,7 +159,7 @@ def _(t):
 
 
 KEY_TABLES = {
-    "customer": ["c_custkey", "c_name", "c_mktsegment"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
     "region": ["r_regionkey", "r_name"],
 }
 
@@ -255,26 +260,51 @@ LONG_NAME = (
 TOKENS = "array_to_string(list_sort(string_split(trim({c}), ' ')), ' ')"
 
 
+CELLS = f"""SELECT 'part' AS _set, CAST(round_even((p_partkey % 20 / 100e0) / 0.0005e0, 0) AS BIGINT) AS _y,
+    CAST(round_even((p_partkey % 3 / 100e0) / 0.0005e0, 0) AS BIGINT) AS _x, '=' || p_type AS _block, p_partkey AS id, {{text}} AS _text FROM part"""
+
+
 @query(
     "D3_J6_near_copies_short_names",
-    f"""WITH p AS (SELECT p_partkey AS id, p_name AS name, p_type, p_partkey % 20 AS y, p_partkey % 3 AS x, {TOKENS.format(c='p_name')} AS v FROM part)
-    SELECT 'part' AS dataset, a.id AS id_a, b.id AS id_b, a.name AS name_a, b.name AS name_b, 100 AS score
-    FROM p a JOIN p b ON a.y = b.y AND a.x = b.x AND a.p_type = b.p_type AND a.id < b.id AND a.v = b.v""",
+    f"""WITH n AS (SELECT _set, _y, _x, _block, _text, CAST(count(*) AS BIGINT) AS n FROM ({CELLS.format(text=TOKENS.format(c='p_name'))}) GROUP BY ALL HAVING count(*) > 1)
+    SELECT _set, _y, _x, _block, _text AS _one, _text AS _two, 0 AS _distance, 100 AS score, n AS rows_a, n AS rows_b FROM n""",
 )
 def _(t):
-    return similar.fuzzy_pairs(_named_parts(t), "part")
+    return similar.similar_names(similar.cell_names(_named_parts(t), "part")).withColumn("_distance", F.col("_distance").cast("int"))
+
+
+# The length of the longest common subsequence: a row of the usual table per letter of
+# one name, for the pairs that a Levenshtein distance no larger lets through.
+COMMON = (
+    "list_reduce(list_prepend([x * 0 for x in range(len({b}) + 1)], list_transform(range(1, len({a}) + 1), lambda i: [i])), "
+    "lambda old, i: list_reduce(range(1, len({b}) + 1), lambda new, j: list_append(new, "
+    "CASE WHEN {a}[i[1]] = {b}[j] THEN old[j] + 1 ELSE greatest(old[j + 1], new[j]) END), [CAST(0 AS BIGINT)]))[len({b}) + 1]"
+)
+NEAR_NAMES = f"""n AS (SELECT _set, _y, _x, _block, _text, CAST(count(*) AS BIGINT) AS n FROM ({CELLS.format(text=TOKENS.format(c=f'({LONG_NAME})'))}) GROUP BY ALL),
+    near AS (SELECT a._set, a._y, a._x, a._block, a._text AS _one, b._text AS _two, a.n AS rows_a, b.n AS rows_b, len(a._text) + len(b._text) AS joint
+      FROM n a JOIN n b ON a._y = b._y AND a._x = b._x AND a._block = b._block AND (len(a._text) < len(b._text) OR (len(a._text) = len(b._text) AND a._text < b._text))
+      WHERE levenshtein(a._text, b._text) <= floor((len(a._text) + len(b._text)) * 2 / 100)),
+    tested AS (SELECT *, CAST(joint - 2 * {COMMON.format(a='_one', b='_two')} AS INTEGER) AS _distance FROM near),
+    matched AS (SELECT * FROM tested WHERE _distance <= floor(joint * 2 / 100)
+      UNION ALL SELECT _set, _y, _x, _block, _text, _text, n, n, 2 * len(_text), 0 FROM n WHERE n > 1)"""
 
 
-@query("D3_J6_near_copies_long_names")
+@query(
+    "D3_J6_near_copy_names",
+    f"WITH {NEAR_NAMES} SELECT _set, _y, _x, _block, _one, _two, _distance, CAST(floor((joint - _distance) * 100 / joint) AS INTEGER) AS score, rows_a, rows_b FROM matched",
+)
 def _(t):
-    """Checked against brute force in the tests: SQL has no such distance."""
-    return similar.fuzzy_pairs(_named_parts(t, LONG_NAME), "part")
+    rows = similar.cell_names(_named_parts(t, LONG_NAME), "part")
+    return similar.similar_names(rows).withColumn("_distance", F.col("_distance").cast("int"))
 
 
-@query("D3_J6_near_copy_names")
+@query(
+    "D3_J6_near_copy_pairs",
+    f"WITH {NEAR_NAMES} SELECT CAST(coalesce(sum(CASE WHEN _one = _two THEN rows_a * (rows_a - 1) / 2 ELSE rows_a * rows_b END), 0) AS BIGINT) AS pairs FROM matched",
+)
 def _(t):
     rows = similar.cell_names(_named_parts(t, LONG_NAME), "part")
-    return similar.similar_names(rows)
+    return similar.pair_count(rows, similar.similar_names(rows))
 
 
 @query("J10_dictionary_lookup", "SELECT id, CASE flag WHEN 't' THEN 'yes' WHEN 'f' THEN 'no' END AS answer FROM raw")

@@ -8,7 +8,6 @@ from staylens.catalogue.registry import query, rounded
 from staylens.config import NA_TOKENS, ROOM_TYPES
 from staylens.functions import numbers as n, parsing as p, text as x
 from staylens.operators import clean, market, order
-from staylens.session import checkpoint
 
 NUMBER = r"regexp_matches(trim({c}), '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$')"
 
@@ -139,7 +138,7 @@ GATE = f"""WITH typed AS (SELECT id, {PRICE} AS price, round({sql_number('latitu
 
 def _gated(t):
     typed = clean.standard_columns(t.raw("id", "price", "latitude", "longitude"))
-    return checkpoint(typed.select(F.col("id").cast("string").alias("id"), clean.reject_reason().alias("reject_reason")))
+    return (typed.select(F.col("id").cast("string").alias("id"), clean.reject_reason().alias("reject_reason")))
 
 
 @query("P14_rejects", GATE + "SELECT id, reject_reason FROM gated WHERE reject_reason <> ''")
@@ -355,11 +354,15 @@ def _(t):
     return t.raw("id", "price").select("id", p.blank_to_null(F.col("price"), NA_TOKENS).alias("price"))
 
 
-@query("S2_tagged_rows", "SELECT 'north' AS city_key, '2024-06-15' AS snapshot_date, n_nationkey FROM nation")
+@query(
+    "S2_tagged_rows",
+    "SELECT 'north' AS city_key, '2024-06-15' AS snapshot_date, n_nationkey FROM nation",
+)
 def _(t):
-    from staylens.sources.files import tag
+    from staylens.sources.files import place
 
-    return tag(t.table("nation").select("n_nationkey"), "north", "2024-06-15")
+    path = F.lit("/raw/north/2024-06-15/listings.csv")
+    return t.table("nation").select(place(path, 3).alias("city_key"), place(path, 2).alias("snapshot_date"), "n_nationkey")
 
 
 @query(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from staylens.catalogue.registry import query, rounded
+from staylens.catalogue.registry import SQL, query, rounded
 from staylens.config import SUBSCORES
 from staylens.functions.numbers import day_type
 from staylens.operators import order, stats
+from staylens.plans import hypotheses
 
 A, B = "1-URGENT", "5-LOW"
 PAIRS = "(SELECT CASE room_type WHEN '1-URGENT' THEN 1 ELSE 0 END AS g, price AS x FROM listing WHERE room_type IN ('1-URGENT', '5-LOW') AND price IS NOT NULL)"
@@ -179,9 +180,32 @@ def _(t):
     return order.average_ranks(t.listing("availability_365"), "availability_365")
 
 
-@query("T4_least_squares")
+def coefficients_sql(y: str, xs, rows: str) -> str:
+    """Least squares: the slope of the target on what is left of each variable once the
+    others are taken out of it, and what the means leave for the intercept."""
+    from staylens.catalogue.models_and_features import least_squares_sql
+
+    parts, n = [], len(xs)
+    for x in xs:
+        others = [o for o in xs if o != x]
+        steps = least_squares_sql("kept", "i", y, [*others, x], "true")
+        last = f"r{n}"
+        parts.append(f"SELECT '{x}' AS term, b FROM ({steps} SELECT sum(y * x{n - 1}) / sum(x{n - 1} * x{n - 1}) AS b FROM {last})")
+    fit = least_squares_sql("kept", "i", y, list(xs), "true")
+    means = " + ".join(f"max(b) FILTER (term = '{x}') * (SELECT avg({x}) FROM kept)" for x in xs)
+    return (
+        f"WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS i, * FROM {rows}), slopes AS MATERIALIZED ({' UNION ALL '.join(parts)}), "
+        f"quality AS (SELECT 1 - sum(pow(label - prediction, 2)) / (count(*) * var_pop(label)) AS r2 FROM ({fit} SELECT * FROM fitted)) "
+        f"SELECT term, round(b, 6) AS coefficient, round(r2, 6) AS r2 FROM (SELECT term, b FROM slopes UNION ALL "
+        f"SELECT 'Intercept', (SELECT avg({y}) FROM kept) - ({means}) FROM slopes), quality"
+    )
+
+
+SCORED = "(SELECT price, " + ", ".join(SUBSCORES) + " FROM listing WHERE price IS NOT NULL AND " + " AND ".join(f"{s} IS NOT NULL" for s in SUBSCORES) + ")"
+
+
+@query("T4_least_squares", coefficients_sql("ln(price)", SUBSCORES, SCORED))
 def _(t):
-    """The one-variable case is checked in SQL below, the full one in the tests."""
     listing = t.listing("price", *SUBSCORES)
     return rounded(stats.ols(listing, F.ln("price"), SUBSCORES), 6)
 
@@ -194,3 +218,59 @@ def _(t):
 def _(t):
     listing = t.listing("price", "review_scores_value")
     return rounded(stats.ols(listing, F.ln("price"), ["review_scores_value"]), 6)
+
+
+# ---- the five hypotheses over the star -----------------------------------
+
+
+def _over_star(t, ask, *names: str, **options):
+    from staylens.catalogue.keys_and_tables import _star
+
+    return rounded(ask(_star(t), **options).select(*names), 6)
+
+
+TWO_GROUPS = (
+    "WITH p AS ({pairs}), m AS " + MOMENTS.format(x="ln(x)", pairs="p") + " "
+    "SELECT CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, (SELECT round(median(x), 6) FROM p WHERE g = 1) AS median_a, "
+    "(SELECT round(median(x), 6) FROM p WHERE g = 0) AS median_b, round((ma - mb) / sqrt(va / na + vb / nb), 6) AS t, "
+    "round((ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)), 6) AS cohen_d FROM m"
+)
+TWO_GROUP_NAMES = ("n_a", "n_b", "median_a", "median_b", "t", "cohen_d")
+
+
+@query("H1_dearer_rooms", TWO_GROUPS.format(pairs="SELECT * FROM " + PAIRS))
+def _(t):
+    return _over_star(t, hypotheses.dearer_rooms, *TWO_GROUP_NAMES, one=A, other=B)
+
+
+SUPER = (
+    "(SELECT CASE WHEN s THEN 1 ELSE 0 END AS g, review_scores_rating AS x FROM listing l JOIN (SELECT host_id, arg_min(host_is_superhost, id) AS s FROM listing GROUP BY 1) h "
+    "ON h.host_id IS NOT DISTINCT FROM l.host_id WHERE review_scores_rating IS NOT NULL)"
+)
+
+
+@query(
+    "H2_superhost_ratings",
+    RANK_SUM.replace(PAIRS, SUPER)
+    + "SELECT CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, u, round((u - mu - 0.5e0) / sd, 6) AS u_z, round(abs(1 - 2 * u / (na * nb)), 6) AS rank_biserial FROM u",
+)
+def _(t):
+    return _over_star(t, hypotheses.superhost_ratings, "n_a", "n_b", "u", "u_z", "rank_biserial")
+
+
+@query(
+    "H3_busy_listing_prices",
+    TWO_GROUPS.format(pairs="SELECT CASE WHEN number_of_reviews > 10 THEN 1 ELSE 0 END AS g, price AS x FROM listing WHERE price IS NOT NULL"),
+)
+def _(t):
+    return _over_star(t, hypotheses.busy_listing_prices, *TWO_GROUP_NAMES)
+
+
+@query("H4_neighbourhood_prices", complete=SQL["T8_T9_T12_k_groups"])
+def _(t):
+    return _over_star(t, hypotheses.neighbourhood_prices, "k", "n_total", "f", "eta2", "h", "epsilon2")
+
+
+@query("H5_weekend_availability", complete=SQL["T13_two_proportions"])
+def _(t):
+    return _over_star(t, hypotheses.weekend_availability, "n_a", "n_b", "share_a", "share_b", "z", "cohen_h")

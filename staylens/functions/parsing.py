@@ -83,7 +83,3 @@ def canonical(c: Column, vocabulary: Mapping[str, str]) -> Column:
 
 def blank_to_null(c: Column, tokens: tuple[str, ...]) -> Column:
     return F.when(~c.isin(*tokens), c)
-
-
-def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)

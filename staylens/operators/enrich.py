@@ -10,7 +10,6 @@ from staylens.functions.numbers import per_month, per_unit, ratio, round_even, t
 from staylens.functions.parsing import money, num, parse_date
 from staylens.operators.order import grouped
 from staylens.operators.quality import as_number, union_all
-from staylens.session import small_side
 
 NEIGHBOURHOOD = ("city_key", "neighbourhood_std")
 
@@ -86,7 +85,7 @@ def with_reviews(listings: DataFrame, reviews: DataFrame, by: Sequence[str] = ()
 
 
 def with_neighbourhoods(listings: DataFrame, keys: Sequence[str] = NEIGHBOURHOOD) -> DataFrame:
-    return listings.join(small_side(group_profile(listings, keys)), list(keys), "left")
+    return listings.join(group_profile(listings, keys), list(keys), "left")
 
 
 def build_master(listings: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -99,7 +98,7 @@ def build_master(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     base = derived_measures(official_estimates(with_reviews(listings, reviews, shared)))
     if "snapshot_date" not in base.columns:
         return with_neighbourhoods(base)
-    profile = small_side(snapshot_profile(base))
+    profile = snapshot_profile(base)
     return base.join(profile, ["city_key", "snapshot_date", "neighbourhood_std"], "left")
 
 

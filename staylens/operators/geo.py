@@ -245,9 +245,3 @@ def cluster_count(clusters: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.coalesce(F.sum(F.when(own, F.col("w"))), F.lit(0)).alias("clustered"),
         F.coalesce(F.sum(F.when(~own, F.col("w"))), F.lit(0)).alias("noise"),
     )
-
-
-def with_clusters(df: DataFrame, clusters: DataFrame, lat: str = "latitude", lon: str = "longitude", by: Sequence[str] = ()) -> DataFrame:
-    """Rows with the cluster of their coordinates."""
-    found = clusters.select(*by, F.col("lat").alias(lat), F.col("lon").alias(lon), "core", "cluster")
-    return df.join(found, [*by, lat, lon], "left")

@@ -17,7 +17,6 @@ from staylens.functions.numbers import (
 from staylens.operators.order import (
     NEAREST, attach, counted, grouped, medians, quantiles, quantiles_of, unpivot,
 )
-from staylens.session import small_side
 
 
 def rows(name: str) -> Column:
@@ -261,7 +260,7 @@ def city_centres(df: DataFrame, key: str = "city") -> DataFrame:
 
 def distance_to_centre(df: DataFrame, key: str = "city", centres: DataFrame | None = None) -> DataFrame:
     """Adds the distance in km to the median point of the row's city."""
-    centres = small_side(city_centres(df, key) if centres is None else centres)
+    centres = city_centres(df, key) if centres is None else centres
     located = df.dropna(subset=["latitude", "longitude"])
     km = distance_km(F.col("latitude"), F.col("longitude"), F.col("lat0"), F.col("lon0"))
     return located.join(centres, key).withColumn("dist_km", km)
@@ -289,7 +288,7 @@ def price_trend(geo: DataFrame) -> DataFrame:
 def ratio_to_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
     """Adds value / median of its group."""
     by = list(by)
-    middle = small_side(medians(df, by, {"_median": value}))
+    middle = medians(df, by, {"_median": value})
     return attach(df, middle, by).withColumn(name, ratio(F.col(value), F.col("_median"))).drop("_median")
 
 
@@ -471,10 +470,11 @@ def host_segments(hosts: DataFrame) -> DataFrame:
 
 
 def host_type_frame(df: DataFrame, host: str = "host_id") -> DataFrame:
-    """Priced listings marked by whether their host holds one or more listings."""
+    """Priced listings marked by whether their host holds one or more listings; the
+    missing host is one host."""
     sizes = df.groupBy(host).agg(rows("n_listings"))
-    priced = df.where(F.col("price").isNotNull() & F.col(host).isNotNull())
-    return priced.join(sizes, host).withColumn("host_type", host_type(F.col("n_listings")))
+    priced = df.where(F.col("price").isNotNull())
+    return attach(priced, sizes, [host]).withColumn("host_type", host_type(F.col("n_listings")))
 
 
 def host_type_prices(df: DataFrame) -> DataFrame:

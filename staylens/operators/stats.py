@@ -17,13 +17,12 @@ from staylens.functions.numbers import correlation, ratio
 from staylens.functions.tails import p_chi2, p_f, p_normal, p_t
 from staylens.operators.order import attach, average_ranks, counted, medians, ranks_of
 from staylens.operators.quality import row_to_long
-from staylens.session import small_side
 
 
 def effect_label(d: Column) -> Column:
     size = F.abs(d)
     return (
-        F.when(size < 0.2, "negligible").when(size < 0.5, "small").when(size < 0.8, "medium").otherwise("large")
+        F.when(size < 0.2, "negligible").when(size < 0.5, "small").when(size < 0.8, "medium").when(size >= 0.8, "large")
     )
 
 
@@ -51,12 +50,12 @@ def welch(pairs: DataFrame, log: bool = False) -> DataFrame:
     """Welch t with its degrees of freedom, and Cohen's d on the pooled deviation."""
     one = two_moments(pairs, F.ln("x") if log else F.col("x"))
     na, nb = F.col("n_a"), F.col("n_b")
-    ea, eb = F.col("var_a") / na, F.col("var_b") / nb
+    ea, eb = ratio(F.col("var_a"), na), ratio(F.col("var_b"), nb)
     gap = F.col("mean_a") - F.col("mean_b")
-    pooled = F.sqrt(((na - 1) * F.col("var_a") + (nb - 1) * F.col("var_b")) / (na + nb - 2))
-    freedom = (ea + eb) * (ea + eb) / (ea * ea / (na - 1) + eb * eb / (nb - 1))
+    pooled = F.sqrt(ratio((na - 1) * F.col("var_a") + (nb - 1) * F.col("var_b"), na + nb - 2))
+    freedom = ratio((ea + eb) * (ea + eb), ratio(ea * ea, na - 1) + ratio(eb * eb, nb - 1))
     return one.select(
-        "n_a", "n_b", (gap / F.sqrt(ea + eb)).alias("t"), freedom.alias("t_df"), (gap / pooled).alias("cohen_d")
+        "n_a", "n_b", ratio(gap, F.sqrt(ea + eb)).alias("t"), freedom.alias("t_df"), ratio(gap, pooled).alias("cohen_d")
     )
 
 
@@ -72,7 +71,7 @@ def anova(groups: DataFrame) -> DataFrame:
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("_sum") / F.col("n_total"), 2)).alias("ss_between")
     )
     k, n = F.col("k"), F.col("n_total")
-    f = ratio(F.col("ss_between") / (k - 1), F.col("ss_within") / (n - k))
+    f = ratio(ratio(F.col("ss_between"), k - 1), ratio(F.col("ss_within"), n - k))
     eta = ratio(F.col("ss_between"), F.col("ss_between") + F.col("ss_within"))
     return between.select("k", "n_total", f.alias("f"), eta.alias("eta2"))
 
@@ -101,12 +100,12 @@ def mann_whitney(pairs: DataFrame, alternative: str = "two-sided") -> DataFrame:
     na = F.col("n_a").cast("double")
     nb, n = F.col("n_all") - na, F.col("n_all").cast("double")
     u = F.col("_ranks") - na * (na + 1) / 2
-    spread = F.sqrt(na * nb / 12 * (n + 1 - F.col("_ties") / (n * (n - 1))))
+    spread = F.sqrt(na * nb / 12 * (n + 1 - ratio(F.col("_ties"), n * (n - 1))))
     off = u - na * nb / 2
     gap = {"greater": off - 0.5, "less": off + 0.5, "two-sided": F.signum(off) * F.greatest(F.abs(off) - 0.5, F.lit(0.0))}
     return one.select(
         u.alias("u"), ratio(gap[alternative], spread).alias("u_z"),
-        (1 - 2 * u / (na * nb)).alias("rank_biserial"), F.col("n_a"), nb.cast("long").alias("n_b"),
+        (1 - ratio(2 * u, na * nb)).alias("rank_biserial"), F.col("n_a"), nb.cast("long").alias("n_b"),
     )
 
 
@@ -133,7 +132,7 @@ def two_group_test(df: DataFrame, value: str, group: str, a, b, alternative: str
         "*",
         p_f(F.col("levene_w"), F.lit(1.0), (F.col("n_a") + F.col("n_b") - 2).cast("double")).alias("levene_p"),
         p_t(F.col("t"), F.col("t_df"), alternative).alias("t_p"),
-        F.least(p_normal(F.col("u_z"), alternative), F.lit(1.0)).alias("u_p"),
+        F.when(F.col("u_z").isNotNull(), F.least(p_normal(F.col("u_z"), alternative), F.lit(1.0))).alias("u_p"),
     )
 
 
@@ -156,10 +155,10 @@ def k_group_statistics(df: DataFrame, value: str, group: str, min_size: int = 30
     spread = sums.agg(F.sum(F.col("r") * F.col("r") / F.col("size")).alias("spread"))
     one = attach(attach(anova(kept), spread, []), ties, [])
     n, k = F.col("n_total").cast("double"), F.col("k")
-    raw = F.lit(12.0) / (n * (n + 1)) * F.col("spread") - 3 * (n + 1)
-    h = ratio(raw, 1 - F.col("ties") / (n * n * n - n))
+    raw = ratio(F.lit(12.0), n * (n + 1)) * F.col("spread") - 3 * (n + 1)
+    h = ratio(raw, 1 - ratio(F.col("ties"), n * n * n - n))
     return one.withColumn("h", h).select(
-        "k", "n_total", "f", "eta2", "h", ((F.col("h") - k + 1) / (n - k)).alias("epsilon2")
+        "k", "n_total", "f", "eta2", "h", ratio(F.col("h") - k + 1, n - k).alias("epsilon2")
     )
 
 
@@ -214,7 +213,7 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ranked = whole
     for i, c in enumerate(columns):
         ranks = average_ranks(whole, c).select(F.col("value").alias(c), F.col("rank").alias(f"_r{i}"))
-        ranked = ranked.join(small_side(ranks, 500_000), c)
+        ranked = ranked.join(ranks, c)
     pairs = list(combinations(range(len(columns)), 2))
     one = ranked.agg(*[correlation(F.col(f"_r{i}"), F.col(f"_r{j}")).alias(f"_{i}_{j}") for i, j in pairs])
 

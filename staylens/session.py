@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,9 +13,6 @@ DEFAULTS = {
 }
 
 
-BROADCAST_ROWS = 100_000
-
-
 def build_session(app: str = "staylens", **conf: str) -> SparkSession:
     """A session with the defaults above; the cluster's own settings (master,
     memory, shuffle partitions, checkpoint folder) come from its configuration."""
@@ -28,30 +23,11 @@ def build_session(app: str = "staylens", **conf: str) -> SparkSession:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared checkpoint folder.
-
-    The folder is the session's `spark.checkpoint.dir`. A temporary one is used
-    only when none is set and the master is local.
-    """
+    """Cut the lineage in the cluster's shared checkpoint folder, `spark.checkpoint.dir`;
+    where that is unset, in a folder beside the warehouse."""
     spark = df.sparkSession
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="staylens-checkpoint-")
-        context.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints")
     return df.checkpoint()
-
-
-def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The lookup side of a join with a large table.
-
-    Such a side is an aggregate whose size no plan knows in advance, and without
-    a hint the large table would be shuffled on a key with few values. It is
-    computed once and counted: up to `most` rows it is broadcast, beyond that it
-    takes part in an ordinary shuffle join.
-    """
-    stored = checkpoint(df)
-    return F.broadcast(stored) if stored.count() <= most else stored
