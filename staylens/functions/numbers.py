@@ -111,10 +111,12 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
 def bucket_of(c: Column, per_e: int = 16_384) -> Column:
     """A whole number that never falls as the value rises.
 
-    Each bucket spans a constant ratio of about 1.00006, so values between 1 and
-    a million lie in at most 230,000 of them however many there are. Order
-    statistics use it to cut one group's values into slices that different tasks
-    can handle.
+    Each bucket spans a constant ratio of about 1.00006 at every magnitude, shares and
+    prices alike, so values within a factor of a million lie in at most 230,000 of
+    them however many there are. Order statistics use it to cut one group's values
+    into slices that different tasks can handle.
     """
     x = c.cast("double")
-    return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * F.lit(float(per_e)))).cast("long")
+    # the logarithm of the smallest double is -744.5
+    size = F.floor((F.ln(F.abs(x)) + F.lit(750.0)) * F.lit(float(per_e))) + 1
+    return F.when(x == 0, 0).when(x < 0, -size).otherwise(size).cast("long")
