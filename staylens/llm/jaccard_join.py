@@ -5,11 +5,10 @@ least `percent` / 100. The result is each document's component of links.
 
 1. Documents with equal sets are one node (a 64-bit name of the set).
 2. Candidate clusters. Two sets that link differ in at most D shingles, and D
-   follows from the size. The range of hashes is cut into more than D parts, so one
-   part at least is equal in both: nodes that agree on a part of their size range
-   meet in a candidate cluster, and no link leaves one. A part holds about six
-   shingles or more, so frequent shingles, lines and passages alone bring nobody
-   together.
+   follows from the size. The range of hashes is cut into an eighth more than D
+   parts, so at least that eighth is equal in both: nodes that share as many parts of
+   their size range with others meet in a candidate cluster, and no link leaves one.
+   A line or passage that many texts hold fills few parts and brings nobody together.
 3. The most connected node of each cluster is its pivot; every other node is tested
    against it. That settles clusters of copies of one text in linear work.
 4. Nodes that the pivot did not reach are joined with all nodes of their cluster in
@@ -46,6 +45,7 @@ from staylens.operators.geo import components
 _U = np.uint64
 GROWTH = 1.4
 PAGE_SHINGLES = 400_000
+FILTER_BITS = 1 << 26
 FAN = 8
 
 
@@ -69,7 +69,7 @@ class Rule:
         high = max(low + 1, int(low * GROWTH))
         # members of only one of two sets: at most their total less twice the least overlap
         differ = 2 * (high - 1) * (100 - self.percent) // (100 + self.percent)
-        spare = 0 if differ == 0 else 1 + differ // 64
+        spare = 0 if differ == 0 else 1 + differ // 8
         return low, high, differ + 1 + spare, spare
 
     @lru_cache(maxsize=1 << 14)  # noqa: B019
@@ -103,11 +103,13 @@ def node_of(members: np.ndarray) -> int:
     return int(signed(mix(mix(members).sum(dtype=np.uint64, keepdims=True) + _U(len(members))))[0])
 
 
-def part_keys(members: np.ndarray, rule: Rule) -> Iterator[np.ndarray]:
-    """Names of the parts of a sorted set, for every range it may link in."""
+def part_keys(members: np.ndarray, rule: Rule) -> Iterator[tuple[np.ndarray, int]]:
+    """Names of the parts of a sorted set, for every range it may link in, and how many
+    of them it shares with any set it links with there. The last six bits of a name
+    are the range."""
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(members + _U(77)), dtype=np.uint64)))
     for k in rule.ranges_for(len(members)):
-        _, _, parts, spare = rule.range_at(k)
+        _, high, parts, spare = rule.range_at(k)
         if parts == 1:
             continue  # only equal sets link here, and they are one node
         cut = np.empty(parts + 1, np.int64)
@@ -115,8 +117,14 @@ def part_keys(members: np.ndarray, rule: Rule) -> Iterator[np.ndarray]:
         cut[1:-1] = np.searchsorted(members, edges(parts))
         total, count = sums[cut], cut[1:] - cut[:-1]
         keys = mix(mix(total[1:] - total[:-1] + count.view(np.uint64)) + numbers(k, parts))
+        keys = (keys & ~_U(63)) | _U(k & 63)
         full = np.flatnonzero(count)
-        yield keys if parts - len(full) > spare else keys[full]
+        empty = parts - len(full)
+        # all parts but those that hold a differing member are equal; empty ones may be left out
+        partner = min(high - 1, 100 * len(members) // rule.percent)
+        differ = (len(members) + partner) * (100 - rule.percent) // (100 + rule.percent)
+        need = max(1, parts - differ - empty)
+        yield (keys if empty > spare else keys[full]), need
 
 
 def sets_in(batch: pa.RecordBatch, rule: Rule) -> Iterator[np.ndarray]:
@@ -139,31 +147,57 @@ def described(rule: Rule):
     return each
 
 
-def parts_of(rule: Rule):
+def parts_of(rule: Rule, wanted: np.ndarray | None = None):
+    """`key`, `node`, `need` of all parts, or of those whose bit is set in `wanted`. Copies
+    that a task has seen are left out."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            keys, nodes, held = [], [], 0
+            keys, nodes, needs, held = [], [], [], 0
             for members in sets_in(batch, rule):
                 if not len(members):
                     continue
                 node = node_of(members)
-                for found in part_keys(members, rule):
+                if node in seen:
+                    continue
+                seen.add(node)
+                for found, need in part_keys(members, rule):
+                    if wanted is not None:
+                        at = (found >> _U(6)) % _U(64 * len(wanted))
+                        found = found[(wanted[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1) == 1]
                     keys.append(found)
                     nodes.append(np.full(len(found), node, np.int64))
+                    needs.append(np.full(len(found), need, np.int32))
                     held += len(found)
                 if held > 200_000:
-                    yield pair_batch(keys, nodes)
-                    keys, nodes, held = [], [], 0
+                    yield part_batch(keys, nodes, needs)
+                    keys, nodes, needs, held = [], [], [], 0
             if held:
-                yield pair_batch(keys, nodes)
+                yield part_batch(keys, nodes, needs)
 
     return each
 
 
-def pair_batch(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+def part_batch(keys: list[np.ndarray], nodes: list[np.ndarray], needs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(nodes))], names=["key", "node"]
+        [pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(needs))],
+        names=["key", "node", "need"],
+    )
+
+
+def bits_of(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size over the names in `keys`: a name whose bit is not set is
+    not among them. However many names there are, it has `FILTER_BITS` bits."""
+    at = F.expr(f"shiftrightunsigned(key, 6) & {FILTER_BITS - 1}L")
+    words = keys.select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
     )
+    # at most FILTER_BITS / 64 rows of two numbers
+    found = words.toArrow()
+    bitmap = np.zeros(FILTER_BITS // 64, np.uint64)
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return bitmap
 
 
 def sets_of(rule: Rule):
@@ -327,18 +361,35 @@ def tile_links(rule: Rule):
 def candidate_clusters(texts: DataFrame, rule: Rule) -> DataFrame:
     """`node`, `cluster`, `weight` (parts shared with others) of the nodes that may
     link with another."""
-    parts = texts.select("body").mapInArrow(parts_of(rule), "key long, node long")
+    schema = "key long, node long, need int"
+    body = texts.select("body")
     met = written(
-        parts.groupBy("key")
+        body.mapInArrow(parts_of(rule), schema)
+        .groupBy("key")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .where("low < high")
-        .select("key", "low")
+        .select("key")
     )
-    star = (
-        parts.join(if_small(met, 16), "key")
-        .groupBy("node", "low")
-        .agg(F.count(F.lit(1)).alias("weight"))
+    # the second pass makes few names that nobody shares
+    shared = written(
+        body.mapInArrow(parts_of(rule, bits_of(met)), schema).join(if_small(met, 8), "key", "left_semi").distinct()
     )
+    # nodes that share too few parts of a range link with nobody there
+    k = F.col("key").bitwiseAND(F.lit(63)).alias("k")
+    enough = written(
+        shared.groupBy("node", k)
+        .agg(F.count(F.lit(1)).alias("parts"), F.max("need").alias("need"))
+        .where("parts >= need")
+        .select("node", "k")
+    )
+    kept = written(
+        shared.select("key", "node", k).join(if_small(enough, 12), ["node", "k"], "left_semi").select("key", "node")
+    )
+    low = written(
+        kept.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+        .select("key", "low")
+    )
+    star = kept.join(if_small(low, 16), "key").groupBy("node", "low").agg(F.count(F.lit(1)).alias("weight"))
     star = written(star)
     ends = written(star.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
     nodes = ends.select(F.col("a").alias("node")).unionByName(ends.select(F.col("b").alias("node"))).distinct()
@@ -352,11 +403,12 @@ def set_links(texts: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
 
     `texts` has (`doc_id`, `mark`, `body`), `known` (`doc_id`, `mark`, `node`)."""
     clusters = candidate_clusters(texts, rule)
+    # one text stands for all rows of a node
+    firsts = known.groupBy("node").agg(F.min(F.struct("mark", "doc_id")).alias("first"))
     sources = written(
-        known.join(clusters.select("node", "cluster"), "node")
-        .groupBy("cluster", "node")
-        .agg(F.min(F.struct("mark", "doc_id")).alias("first"))
-        .select("cluster", "node", F.col("first.mark").alias("_mark"), F.col("first.doc_id").alias("_doc_id"))
+        firsts.join(clusters.select("node", "cluster"), "node").select(
+            "cluster", "node", F.col("first.mark").alias("_mark"), F.col("first.doc_id").alias("_doc_id")
+        )
     )
     same = (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
     chosen = texts.join(if_small(sources, 32), same).select("cluster", "node", "body")
