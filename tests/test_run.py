@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from staylens.config import City
 from staylens.operators import quality, warehouse
 from staylens.plans import answers
-from staylens.plans.run import run
+from staylens.plans.run import load_bronze, run
 from staylens.sources import files, tables
 from staylens.streaming.arrivals import load_arrivals
 
@@ -191,20 +191,27 @@ def test_manifest_tells_new_files(spark, root):
     assert one.header == SOUTH_HEAD and one.bytes > 0 and one.digest.startswith("3-")
 
 
-def test_runs_read_only_new_files(spark, root, tmp_path):
+def test_only_new_files_are_read(spark, root, tmp_path):
     import shutil
 
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+
+    def load(known, force=False):
+        seen = tables.write_report(files.file_manifest(spark, raw, known), f"{tmp_path}/seen{len(list(tmp_path.iterdir()))}", "m")
+        datasets, loaded = load_bronze(spark, out, CITIES, seen, known, force)
+        return seen, datasets, loaded
+
     shutil.copytree(root, raw, ignore=shutil.ignore_patterns("south"))
-    first = run(spark, raw, out, CITIES)
-    assert rows(first["loaded"], "files") == [(4,)]
-    assert first["manifest"].where("error = 'not found'").count() == 4
-    assert rows(run(spark, raw, out, CITIES)["loaded"], "files") == [(0,)]
+    first, datasets, loaded = load(None)
+    assert loaded == 4 and set(datasets) == {"listings", "calendar", "reviews", "neighbourhoods"}
+    assert files.missing_files(first, CITIES).count() == 4
+    assert load(first)[2] == 0
     shutil.copytree(f"{root}/south/2024-06-16", f"{raw}/south/2024-06-16", ignore=shutil.ignore_patterns("cal*", "rev*", "nei*"))
-    third = run(spark, raw, out, CITIES)
-    assert rows(third["loaded"], "files") == [(1,)]
-    assert rows(third["listings"], "id") == [(i,) for i in (1, 2, 3, 4, 7, 8)]
-    assert rows(run(spark, raw, out, CITIES, force=True)["loaded"], "files") == [(5,)]
+    third, datasets, loaded = load(first)
+    assert loaded == 1
+    assert rows(datasets["listings"], "id") == [(str(i),) for i in (1, 2, 3, 3, 4, 5, 6, 7, 8)]
+    assert datasets["listings"].select("_row_id").distinct().count() == 9
+    assert load(third, force=True)[2] == 5
 
 
 def test_columns_are_found_by_name(spark, tmp_path):
