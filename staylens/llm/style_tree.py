@@ -13,8 +13,12 @@ kept, and a page that would lose all its text keeps it.
 What HTML itself marks as something else than the article counts as importance 0 on
 every site: navigation, headers of the page, footers, sidebars, forms, scripts,
 styles, hidden elements, and elements whose class, id or role names adverts, notices,
-menus or reader comments. Where a page has an article (or main) element with text,
-the text is taken from there.
+menus or reader comments. Ids of headings and sections are slugs of their text, so one
+word of them says nothing, nor does one word of a longer name on an element of text.
+Where a page has an article (or main) element with text, the text is taken from there.
+Inside it a name counts when all its words are names, and only adverts, subscriptions
+and reader comments in a class go at once; any other name halves the importance of its
+node, and the tree decides.
 
 A page is parsed once, and only its texts and paths are kept. Site statistics are
 combinable aggregates over (host, path), so a host with a third of all pages is
@@ -38,6 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 from staylens.llm.store import clear_of, if_small, written
 
 GAMMA, LEAST, FEW = 0.9, 0.2, 5
+NAMED = 0.5  # importance of a named node inside an article, as a part of what the tree says
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +71,19 @@ NAMES = frozenset(
     "subscription popup modal overlay masthead footer widget widgets pagination pager toolbar complementary "
     "contentinfo search skip".split()
 )
+# Names that keep their meaning inside an article, words that only say where
+# or in what box something stands, and elements that hold text.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored comment comments disqus respond "
+    "newsletter subscribe subscription breadcrumb breadcrumbs pagination".split()
+)
+ROLES = frozenset("banner complementary contentinfo menu navigation search toolbar".split())
+BOXES = frozenset(
+    "area bar block body bottom box button buttons container content form group inner item items left links list main "
+    "outer page post posts right section site slot top unit user wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXTUAL = HEADINGS | frozenset("p li dt dd td th tr caption blockquote pre figure figcaption".split()) | INLINE
 HEADERS = frozenset(("header", "topbar"))
 TITLES = frozenset("post article entry content title story".split())
 NEGATED = frozenset("no has with without".split())
@@ -84,12 +102,19 @@ def number(*parts) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(map(str, parts))) - (1 << 63)
 
 
+def all_of(name: str, known: frozenset[str]) -> bool:
+    """Whether a class or id consists of words of `known`, besides words for boxes."""
+    words = set(PART.findall(name))
+    return bool(words & known) and words <= known | BOXES
+
+
 class Page:
     """The article text of a page by block, with the paths of the elements around it."""
 
     def __init__(self, source: str):
         self.blocks: list[tuple[list[int], str, bool]] = []
         self.children: dict[int, list[str]] = {}
+        self.named: set[int] = set()
         self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
         self.pending: list[str] = []
         self.read(source)
@@ -108,40 +133,52 @@ class Page:
 
     def open(self, tag: str, attributes: str) -> None:
         _, path, muted, main = self.stack[-1]
-        names, hidden, role = [], False, ""
+        names, ids, hidden, role = [], [], False, ""
         if attributes and attributes.strip(" /"):
             for name, value in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), value.strip("\"'").lower()
-                if name in ("class", "id", "role"):
+                if name == "id":
+                    ids += value.split()
+                elif name in ("class", "role"):
                     names += value.split()
                     role = value if name == "role" else role
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                     hidden = True
                 elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     hidden = True
-        key = tag + "".join("." + re.sub(r"\d+", "0", n) for n in sorted(set(names)))
+        key = tag + "".join("." + re.sub(r"\d+", "0", n) for n in sorted({*names, *ids}))
+        own = number(path, key)
         if not muted:
-            muted = hidden or tag in NOT_TEXT or (tag == "header" and not main) or self.other(tag, names, main)
+            muted = hidden or tag in NOT_TEXT or (tag == "header" and not main) or self.other(tag, names, ids, role, main)
+            if main and not muted and self.doubtful(tag, names, ids):
+                self.named.add(own)
         self.children.setdefault(path, []).append(key)
         landmark = not muted and (main or tag in LANDMARKS or role in LANDMARKS)
-        self.stack.append((tag, number(path, key), muted, landmark))
+        self.stack.append((tag, own, muted, landmark))
 
     @staticmethod
-    def other(tag: str, names: list[str], main: bool) -> bool:
+    def other(tag: str, names: list[str], ids: list[str], role: str, main: bool) -> bool:
         """Whether class, id or role name something else than the article."""
         if tag in ("html", "body", "main"):
             return False
-        for name in names:
+        if main or tag == "article":
+            return (role in ROLES and tag != "article") or any(all_of(name, FOREIGN) for name in names)
+        for name in names + ids:
+            slug = tag in TEXTUAL or (tag == "section" and name in ids)
             words = set(PART.findall(name))
-            if tag == "article":
-                if words & {"comment", "comments", "ad", "ads", "advert", "sponsored"}:
-                    return True
-            elif words & NEGATED:
+            if words & NEGATED or (tag in HEADINGS and name in ids):
                 continue
-            elif words & NAMES or (not main and words & HEADERS and not words & TITLES):
+            elif (all_of(name, NAMES) if slug else words & NAMES) or (words & HEADERS and not words & TITLES):
                 return True
         return False
 
+    @staticmethod
+    def doubtful(tag: str, names: list[str], ids: list[str]) -> bool:
+        """Whether an element inside the article has a name that lowers its importance."""
+        if tag == "main":
+            return False
+        return any(all_of(n, NAMES) for n in (names if tag == "section" or tag in HEADINGS else names + ids))
+
     def close(self, tags: frozenset[str] | set[str], within: frozenset[str] = frozenset()) -> None:
         """Ends the innermost open element of `tags`, not beyond one of `within`."""
         for at in range(len(self.stack) - 1, 0, -1):
@@ -195,19 +232,21 @@ class Page:
         main = [(paths, text) for paths, text, inside in self.blocks if inside]
         return main or [(paths, text) for paths, text, _ in self.blocks]
 
-    def nodes(self) -> list[tuple[int, int]]:
-        """Path and style (children, repeats in a row once) of the elements around blocks."""
+    def nodes(self) -> list[tuple[int, int, float]]:
+        """Path, style (children, repeats in a row once) and prior importance of the
+        elements around blocks."""
         used = {p for paths, _ in self.article() for p in paths}
         out = []
         for path in used:
             keys = self.children.get(path, [])
-            out.append((path, number(*[k for i, k in enumerate(keys) if not i or keys[i - 1] != k])))
+            style = number(*[k for i, k in enumerate(keys) if not i or keys[i - 1] != k])
+            out.append((path, style, NAMED if path in self.named else 1.0))
         return out
 
 
 def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = pa.struct([("paths", pa.list_(pa.int64())), ("hash", pa.int64()), ("text", pa.string())])
-    node = pa.struct([("path", pa.int64()), ("style", pa.int64())])
+    node = pa.struct([("path", pa.int64()), ("style", pa.int64()), ("prior", pa.float64())])
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
@@ -216,7 +255,7 @@ def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = Page(value.as_py() or "")
                 found = page.article()
                 blocks.append([{"paths": p, "hash": number(t), "text": t} for p, t in found])
-                nodes.append([{"path": p, "style": s} for p, s in page.nodes()])
+                nodes.append([{"path": p, "style": s, "prior": w} for p, s, w in page.nodes()])
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[1:], pa.array(blocks, pa.list_(block)), pa.array(nodes, pa.list_(node))],
                 names=[*batch.schema.names[1:], "blocks", "nodes"],
@@ -231,10 +270,10 @@ def low_branches(pages: DataFrame, least: float, few: int) -> DataFrame:
     styles = (
         sited.select("host", F.explode("nodes").alias("node"))
         .groupBy("host", F.col("node.path").alias("path"), F.col("node.style").alias("style"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("node.prior").alias("prior"))
     )
     shown = styles.groupBy("host", "path").agg(
-        F.sum("n").alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
+        F.min("prior").alias("prior"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
     ).where(F.col("m") >= max(2, few))
     presentation = (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")
     texts = (
@@ -248,7 +287,7 @@ def low_branches(pages: DataFrame, least: float, few: int) -> DataFrame:
     content = 1 - F.col("logn") / F.log("m")
     share = F.pow(F.lit(GAMMA), F.col("kinds"))
     return shown.join(same, ["host", "path"]).where(
-        (1 - share) * presentation + share * content < least
+        F.col("prior") * ((1 - share) * presentation + share * content) < least
     ).select("host", "path")
 
 
@@ -268,7 +307,7 @@ def main_text(
         ).mapInArrow(
             parsed,
             f"host string, {kinds}, blocks array<struct<paths:array<bigint>,hash:bigint,text:string>>, "
-            "nodes array<struct<path:bigint,style:bigint>>",
+            "nodes array<struct<path:bigint,style:bigint,prior:double>>",
         )
     )
     low = written(low_branches(found, least, few))

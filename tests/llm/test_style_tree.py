@@ -53,3 +53,25 @@ def test_long_and_empty(spark):
     )
     assert main_text(pages).first()["n_chars"] == 5 * 50_000 - 1
     assert main_text(pages.limit(0)).count() == 0
+
+
+def test_slugs_in_articles_are_no_names():
+    """Ids of headings and sections, and one word of a longer name, mute nothing."""
+    body = (
+        "<h1 id='search-algorithms'>Search</h1><section id=related-work><h2 id=recommendations>Related</h2><p>work</p></section>"
+        "<div class=alert>Careful</div><p class='notice-period'>period</p><div class=ad>buy</div><div class='comments-area'>me too</div>"
+        "<article class=comment>c</article><div role=navigation>menu</div>"
+    )
+    assert texts(f"<article class='post ad-hoc'>{body}</article>") == "Search Related work Careful period"
+    assert texts(f"<main>{body}</main>") == "Search Related work Careful period"
+    plain = "<body><div class=content><h2 id=search-algorithms>Search</h2><p class=notice-period>period</p><section id=related-work>work</section></div><div id=site-menu>x</div>"
+    assert texts(plain) == "Search period work"
+
+
+def test_names_in_articles_lower_importance(spark):
+    """A named part of an article goes when the pages of its site share its text."""
+    body = "<article><p>Story {0}</p><div class=alert>{1}</div></article>"
+    rows = [(i, f"http://a.example/{i}", body.format(i, "Join us")) for i in range(8)]
+    rows += [(10 + i, f"http://b.example/{i}", body.format(i, f"Careful with {i}")) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Story {i}" and got[10 + i] == f"Story {i} Careful with {i}" for i in range(8))
