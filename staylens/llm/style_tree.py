@@ -8,7 +8,11 @@ is 1 less the mean entropy of its texts over pages: a text that all pages show h
 entropy 1, a text of one page 0. Both are combined as (1 - g^l) * presentation
 + g^l * content, with l styles and g = 0.9. Branches of low importance are the site's
 template and are cut from every page. A node that fewer than `FEW` pages show is
-kept, and a page that would lose all its text keeps it.
+kept, and a page that would lose all its text keeps it. Pages of a host with the same
+texts are one page to the tree, and a text counts once a page however often it stands
+there. Inside a page's own article element only named nodes (below) can be cut: near
+copies on one host share a body that is no template. Elsewhere text that all pages of a
+host share is taken for its template.
 
 What HTML itself marks as something else than the article counts as importance 0 on
 every site: navigation, headers of the page, footers, sidebars, forms, scripts,
@@ -25,8 +29,8 @@ combinable aggregates over (host, path), so a host with a third of all pages is
 counted in every task; pages meet the cut branches of their host in one join.
 
 Null html is an empty page, a null url a page without a site. Pages of any length are
-read whole. Rows that repeat a page are two pages of the site. An empty table gives an
-empty result.
+read whole. Rows that repeat a page are one page of the site's tree, and each gets its
+text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -115,7 +119,7 @@ class Page:
         self.blocks: list[tuple[list[int], str, bool]] = []
         self.children: dict[int, list[str]] = {}
         self.named: set[int] = set()
-        self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self.stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
         self.pending: list[str] = []
         self.read(source)
         self.flush()
@@ -126,13 +130,14 @@ class Page:
             text = " ".join(entities.unescape("".join(self.pending)).split())
             self.pending = []
             if text:
-                # paths from the landmark (or the body) inwards
-                inside = [p for tag, p, _, main in self.stack if main or not self.stack[-1][3]]
-                start = 1 if self.stack[-1][3] else min(3, len(inside))
-                self.blocks.append((inside[start:], text, self.stack[-1][3]))
+                # paths from the landmark (or the body) inwards; in an article those with a name
+                main, article = self.stack[-1][3:]
+                inside = [p for _, p, _, m, _ in self.stack if m or not main]
+                inside = inside[1 if main else min(3, len(inside)) :]
+                self.blocks.append(([p for p in inside if not article or p in self.named], text, main))
 
     def open(self, tag: str, attributes: str) -> None:
-        _, path, muted, main = self.stack[-1]
+        _, path, muted, main, article = self.stack[-1]
         names, ids, hidden, role = [], [], False, ""
         if attributes and attributes.strip(" /"):
             for name, value in ATTRIBUTE.findall(attributes):
@@ -154,7 +159,8 @@ class Page:
                 self.named.add(own)
         self.children.setdefault(path, []).append(key)
         landmark = not muted and (main or tag in LANDMARKS or role in LANDMARKS)
-        self.stack.append((tag, own, muted, landmark))
+        article = landmark and (article or "article" in (tag, role))
+        self.stack.append((tag, own, muted, landmark, article))
 
     @staticmethod
     def other(tag: str, names: list[str], ids: list[str], role: str, main: bool) -> bool:
@@ -265,19 +271,24 @@ def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def low_branches(pages: DataFrame, least: float, few: int) -> DataFrame:
     """`host`, `path` of the nodes of each site whose importance is below `least`, for
     pages with (`host`, `nodes`, `blocks`)."""
-    log = lambda x, m: F.log(x) / F.log(m)
-    sited = pages.where("host IS NOT NULL")
+    # copies of a page have one number, so that each article of a host counts once
+    numbered = pages.where("host IS NOT NULL").select(
+        "host", F.xxhash64(F.transform("blocks", lambda b: b["hash"])).alias("page"), "nodes", "blocks"
+    )
     styles = (
-        sited.select("host", F.explode("nodes").alias("node"))
-        .groupBy("host", F.col("node.path").alias("path"), F.col("node.style").alias("style"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("node.prior").alias("prior"))
+        numbered.select("host", "page", F.explode("nodes").alias("node"))
+        .groupBy("host", F.col("node.path").alias("path"), "page")
+        .agg(F.min("node.style").alias("style"), F.min("node.prior").alias("prior"))
+        .groupBy("host", "path", "style")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("prior").alias("prior"))
     )
     shown = styles.groupBy("host", "path").agg(
-        F.min("prior").alias("prior"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
+        F.min("prior").alias("prior"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("kinds"),
+        F.sum(F.col("n") * F.log("n")).alias("nlogn"),
     ).where(F.col("m") >= max(2, few))
     presentation = (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")
     texts = (
-        sited.select("host", F.explode("blocks").alias("block"), F.monotonically_increasing_id().alias("page"))
+        numbered.select("host", "page", F.explode("blocks").alias("block"))
         .select("host", "page", F.col("block.hash").alias("hash"), F.explode("block.paths").alias("path"))
         .distinct()
         .groupBy("host", "path", "hash")

@@ -75,3 +75,30 @@ def test_names_in_articles_lower_importance(spark):
     rows += [(10 + i, f"http://b.example/{i}", body.format(i, f"Careful with {i}")) for i in range(8)]
     got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Story {i}" and got[10 + i] == f"Story {i} Careful with {i}" for i in range(8))
+
+
+def test_repeats_and_copies_are_no_template(spark):
+    """Repeats inside a page, copies of a page and near copies of an article keep their text."""
+    body = "<html><body><div class=top><p>Welcome</p></div><div class=text>{0}</div>"
+    repeated = ["<ul>" + f"<li>item {i}</li>" * 6 + "</ul>" for i in range(6)]
+    rows = [(i, "http://a.example/", body.format(repeated[i])) for i in range(6)]
+    rows += [(10 + i, "http://b.example/", f"<article><h1>Head {i}</h1><p>One shared body</p></article>") for i in range(6)]
+    # six copies of one page and five others
+    rows += [(20 + i, "http://c.example/", body.format(f"<p>Story {max(i - 5, 0)}</p>")) for i in range(11)]
+    found = main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    got = {r["page_id"]: r["text"] for r in found.collect()}
+    assert all(got[i] == " ".join([f"item {i}"] * 6) for i in range(6))
+    assert all(got[10 + i] == f"Head {i} One shared body" for i in range(6))
+    assert all(got[20 + i] == f"Story {max(i - 5, 0)}" for i in range(11))
+
+
+def test_tree_folds_copies(spark):
+    """Many copies of one article beside others are one article to the tree."""
+    from staylens.llm.style_tree import low_branches, parsed
+
+    rows = [(f"<body><div><p>Story {max(i - 50, 0)}</p></div>", "h") for i in range(55)]
+    pages = spark.createDataFrame(rows, "html string, host string").mapInArrow(
+        parsed, "host string, blocks array<struct<paths:array<bigint>,hash:bigint,text:string>>, "
+        "nodes array<struct<path:bigint,style:bigint,prior:double>>"
+    )
+    assert low_branches(pages, 0.85, 5).count() == 0
