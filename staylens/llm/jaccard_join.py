@@ -451,7 +451,8 @@ def set_links(texts: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
 
 
 def grouped_rows(docs: DataFrame, id: str, text: str, rule: Rule) -> DataFrame:
-    """`doc_id`, `mark` (of the text), `n`, `first` (smallest id of the component)."""
+    """`doc_id`, `mark` (of the text), `n`, `first` (smallest id of the component) and
+    `first_mark` (smallest mark of that id in the component)."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(body).alias("mark"), body.alias("body"))
     rows = written(texts.mapInArrow(described(rule), "doc_id long, mark long, n long, node long"))
@@ -463,9 +464,14 @@ def grouped_rows(docs: DataFrame, id: str, text: str, rule: Rule) -> DataFrame:
             "doc_id", "mark", "n", F.coalesce("label", "node").alias("label")
         )
     )
-    first = written(labelled.groupBy("label").agg(F.min("doc_id").alias("first")))
-    some = labelled.join(if_small(first, 16), "label").select("doc_id", "mark", "n", "first")
-    return some.unionByName(rows.where("n = 0").select("doc_id", "mark", "n", F.col("doc_id").alias("first")))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "mark"))
+    first = written(
+        labelled.groupBy("label").agg(least.alias("least"))
+        .select("label", F.col("least.doc_id").alias("first"), F.col("least.mark").alias("first_mark"))
+    )
+    some = labelled.join(if_small(first, 24), "label").select("doc_id", "mark", "n", "first", "first_mark")
+    alone = rows.where("n = 0").select("doc_id", "mark", "n", F.col("doc_id").alias("first"), F.col("mark").alias("first_mark"))
+    return some.unionByName(alone)
 
 
 def jaccard_groups(
@@ -480,11 +486,12 @@ def jaccard_groups(
 def without_near_copies(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest id. Rows
-    that repeat an id and its text stay or go together."""
+    """`docs` with one document of each component, the one with the smallest id (nulls
+    last) and, where texts share that id, the smallest hash. Rows that repeat an id and
+    its text stay or go together."""
     rows = grouped_rows(docs, id, text, Rule(words, percent))
     gone = written(
-        rows.where(~F.col("doc_id").eqNullSafe(F.col("first")))
+        rows.where(~F.col("doc_id").eqNullSafe(F.col("first")) | (F.col("mark") != F.col("first_mark")))
         .select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"))
         .distinct()
     )

@@ -64,5 +64,14 @@ def test_one_document_of_each_component_stays(spark):
     assert ordered(r["doc_id"] for r in left.collect()) == want
 
 
+def test_near_copies_with_one_id(spark):
+    """Near copies that share an id, or have none, leave one document."""
+    text = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"v{i}" for i in range(200))
+    rows = [(1, text, "a"), (1, text + " x", "a"), (2, text + " y", "a"), (None, other, "a"), (None, other + " x", "a")]
+    left = without_near_copies(documents(spark, rows), words=3, percent=90).collect()
+    assert ordered(r["doc_id"] for r in left) == ordered([1, None])
+
+
 def test_empty_table(spark):
     assert jaccard_groups(empty(spark)).count() == 0 and without_near_copies(empty(spark)).count() == 0
