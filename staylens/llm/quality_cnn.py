@@ -1,13 +1,13 @@
 """Quality classifier: a convolutional network over bytes, in numpy.
 
 A text is covered whole by overlapping chunks of 512 bytes. Learned filters slide
-over each chunk, each filter keeps its largest response, and a small layer turns the
+over each chunk byte by byte, each filter keeps its largest response, and a small layer turns the
 responses of a chunk into features. The mean and the maximum of each feature over all
 chunks of the document are combined into one probability.
 
 The network is trained on the driver from a bounded sample: at most `most` labelled
-documents of each label and `CHUNKS` evenly spaced chunks of each, picked by a hash
-of the id. Scores use the whole text and nothing but the text.
+documents of each label and `chunks` evenly spaced chunks of each, picked by a hash
+of the id; of rows that repeat a labelled id the smallest text is taken. Scores use the whole text and nothing but the text.
 
 Null texts count as empty; an empty text is scored as a chunk without bytes. Without
 labels every score is 0.5, with one label only its smoothed share. Rows that repeat
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from staylens.llm.text_bytes import binaries
 
-CHUNK, STEP, HOP = 512, 448, 2
+CHUNK, STEP = 512, 448
 WIDTH, FILTERS, HIDDEN = 8, 64, 16
 CHUNKS, MOST = 6, 1500
 EPOCHS, BATCH, RATE = 8, 32, 4e-3
@@ -54,7 +54,7 @@ def windows(chunks: np.ndarray) -> np.ndarray:
     """Coded windows of chunks (rows of byte numbers, 256 where there is none)."""
     coded = CODE[chunks].reshape(len(chunks), -1)
     view = np.lib.stride_tricks.sliding_window_view(coded, WIDTH * DEPTH, axis=1)
-    return view[:, :: HOP * DEPTH]
+    return view[:, ::DEPTH]
 
 
 def chunk_starts(size: int) -> np.ndarray:
@@ -201,25 +201,28 @@ def trained(docs: list[tuple[int, list[bytes]]], epochs: int = EPOCHS) -> Networ
     return net
 
 
-def sample_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Evenly spaced chunks of each sampled text."""
-    for batch in batches:
-        data, begin = binaries(batch.column(1))
-        parts = []
-        for a, b in zip(begin[:-1], begin[1:]):
-            starts = chunk_starts(int(b - a))
-            picked = starts[np.unique(np.linspace(0, len(starts) - 1, min(CHUNKS, len(starts))).astype(int))]
-            parts.append([data[a + s : min(b, a + s + CHUNK)].tobytes() for s in picked])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(parts, pa.list_(pa.binary()))], names=["label", "chunks"]
-        )
+def sample_chunks(most: int):
+    """At most `most` evenly spaced chunks of each sampled text."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, begin = binaries(batch.column(1))
+            parts = []
+            for a, b in zip(begin[:-1], begin[1:]):
+                starts = chunk_starts(int(b - a))
+                picked = starts[np.unique(np.linspace(0, len(starts) - 1, min(most, len(starts))).astype(int))]
+                parts.append([data[a + s : min(b, a + s + CHUNK)].tobytes() for s in picked])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(parts, pa.list_(pa.binary()))], names=["label", "chunks"]
+            )
+
+    return each
 
 
 def held_out(id: str) -> Column:
     return F.crc32(F.col(id).cast("string").cast("binary")) % 3 == 1
 
 
-def fitted(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, most: int = MOST) -> Network | float:
+def fitted(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, most: int = MOST, chunks: int = CHUNKS) -> Network | float:
     """The network for the labelled documents outside the held-out third."""
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(id)).select(F.col(id).alias("_id"), F.col(label).alias("_label"))
@@ -232,7 +235,10 @@ def fitted(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, m
     # at most 2 * most rows
     rows = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(
         F.col("_label").cast("int").alias("label"), F.coalesce("text", F.lit("")).cast("binary").alias("body"),
-    ).mapInArrow(sample_chunks, "label int, chunks array<binary>").limit(4 * most)
+        "_id",
+    ).groupBy("_id", "label").agg(F.min("body").alias("body")).select("label", "body").mapInArrow(
+        sample_chunks(chunks), "label int, chunks array<binary>"
+    )
     sample = sorted((r["label"], [bytes(c) for c in r["chunks"]]) for r in rows.collect())
     return trained(sample)
 
@@ -251,10 +257,11 @@ def scores_of(net: Network | float):
 
 
 def scored(
-    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST,
+    chunks: int = CHUNKS,
 ) -> DataFrame:
     """id, `held_out`, `score`, `predicted` of every row of `docs`."""
-    net = fitted(docs, labels, id, text, label, most)
+    net = fitted(docs, labels, id, text, label, most, chunks)
     kind = docs.schema[id].dataType.simpleString()
     body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")
     found = docs.select(body, F.col(id).alias("doc_id")).mapInArrow(scores_of(net), f"_score double, doc_id {kind}")
@@ -265,10 +272,11 @@ def scored(
 
 
 def accepted(
-    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST,
+    chunks: int = CHUNKS,
 ) -> DataFrame:
     """The rows of `docs` that the classifier does not reject, with their columns."""
-    net = fitted(docs, labels, id, text, label, most)
+    net = fitted(docs, labels, id, text, label, most, chunks)
     names = [f"c{i}" for i in range(len(docs.columns))]
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields))
     body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_body")

@@ -78,3 +78,16 @@ def test_gradients():
         low = loss()
         w[at] = keep
         assert abs((high - low) / (2 * step) - g[at]) < 0.05 * abs(g[at]) + 1e-3
+
+
+def test_filters_meet_every_byte():
+    """One byte more in front of a text leaves the largest responses inside a chunk as they are."""
+    import numpy as np
+
+    from staylens.llm.quality_cnn import Network, chunk_rows
+
+    at = np.zeros(1, np.int64)
+    text = np.frombuffer(b"z" * 99 + b"pattern!" + b"z" * 99, np.uint8)
+    more = np.concatenate([text[:1], text])
+    one, two = (Network.fresh().responses(chunk_rows(t, at))[0] for t in (text, more))
+    assert np.allclose(one, two, atol=1e-4)
