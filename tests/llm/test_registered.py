@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_queries_equal_their_sql(spark):
     con = connect(FOLDER)
-    assert set(queries.QUERIES) <= set(driver.queries()) and len(queries.QUERIES) == 10
+    assert set(queries.QUERIES) <= set(driver.queries()) and len(queries.QUERIES) == 13
     found = {n: difference(queries.QUERIES[n](spark, FOLDER), con, sql) for n, sql in queries.SQL.items()}
     assert found == dict.fromkeys(queries.SQL)
 
