@@ -8,6 +8,7 @@ from staylens.catalogue.registry import RAW, query
 from staylens.catalogue.scalars import PRICE, sql_number
 from staylens.config import MISSING_NOTES
 from staylens.operators import quality, similar
+from staylens.session import checkpoint
 
 PROFILED = tuple(c for c in RAW if c != "_row_id")
 
@@ -324,4 +325,24 @@ def _(t):
     return quality.distinct_counts(t.table("documents"), ["text", "lang", "source"])
 
 
+@query(
+    "A29_D8_sketched_counts",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(count(*) AS BIGINT) AS rows, CAST(count({c}) AS BIGINT) AS non_null, CAST(count(DISTINCT {c}) AS BIGINT) AS exact, TRUE AS close FROM listing"
+        for c in ("id", "host_id", "neighbourhood", "price")
+    ),
+)
+def _(t):
+    """Sketches of every tenant, stored and merged over all of them, beside exact counts.
+    Close: within 3.3 %, four standard errors of 2 ** 14 registers."""
+    columns = ["id", "host_id", "neighbourhood", "price"]
+    listing = t.listing("city_key", *columns)
+    stored = checkpoint(quality.distinct_sketches(listing, columns, ["city_key"]))
+    exact = quality.distinct_counts(listing, columns).select("column", F.col("distinct").alias("exact"))
+    gap = F.abs(F.col("distinct") - F.col("exact"))
+    return quality.sketched_counts(stored).join(exact, "column").select(
+        "column", "rows", "non_null", "exact", (gap <= 0.033 * F.col("exact")).alias("close")
+    )
+
+
 assert set(PROFILED) <= set(RAW)

@@ -113,10 +113,10 @@ def bucket_of(c: Column, per_e: int = 16_384) -> Column:
 
     Each bucket spans a constant ratio of about 1.00006 at every magnitude, shares and
     prices alike, so values within a factor of a million lie in at most 230,000 of
-    them however many there are. Order statistics use it to cut one group's values
-    into slices that different tasks can handle.
+    them however many there are. Order statistics use it as a first cut of one group's
+    values into slices that different tasks can handle.
     """
     x = c.cast("double")
-    # the logarithm of the smallest double is -744.5
-    size = F.floor((F.ln(F.abs(x)) + F.lit(750.0)) * F.lit(float(per_e))) + 1
+    # the logarithm of the smallest double is -744.5, that of the largest 709.8
+    size = F.floor((F.least(F.ln(F.abs(x)), F.lit(710.0)) + F.lit(750.0)) * F.lit(float(per_e))) + 1
     return F.when(x == 0, 0).when(x < 0, -size).otherwise(size).cast("long")

@@ -90,6 +90,21 @@ def chi2_tail(x: float, df: float) -> float:
     return gamma_tail(df / 2.0, x / 2.0)
 
 
+def rank_sum_tail(u: float, a: float, b: float) -> float:
+    """Chance that U is at least u when all orders of a + b different values are alike.
+
+    The number of orders with a given U comes from those of smaller groups: factor by
+    factor, each a product and a quotient of whole-number series."""
+    small, large = sorted((int(a), int(b)))
+    ways = [1] + [0] * (small * large)
+    for i in range(1, small + 1):
+        for k in range(len(ways) - 1, large + i - 1, -1):
+            ways[k] -= ways[k - large - i]
+        for k in range(i, len(ways)):
+            ways[k] += ways[k - i]
+    return sum(ways[max(0, math.ceil(u)) :]) / math.comb(small + large, small)
+
+
 def _column(fn, *columns):
     def over(*series: pd.Series) -> pd.Series:
         return pd.Series(
@@ -129,3 +144,9 @@ def p_f(f, d1, d2):
 
 def p_chi2(x, df):
     return _column(chi2_tail, x, df)
+
+
+def p_rank_sum(u, a, b, alternative: str):
+    """Exact p of Mann-Whitney's U of the first group, for groups of a and b different values."""
+    side = {"greater": u, "less": a * b - u, "two-sided": F.greatest(u, a * b - u)}[alternative]
+    return F.least(_column(rank_sum_tail, side, a, b) * F.lit(2.0 if alternative == "two-sided" else 1.0), F.lit(1.0))

@@ -3,7 +3,9 @@
 Every operator here first counts equal values (a combinable aggregate, so a hot
 value costs one row), cuts the counted values into monotone buckets, adds up the
 buckets (a bounded table), and only then orders values inside the few buckets
-that matter. No task sees all values of one group, and nothing is approximate.
+that matter. Buckets that hold many distinct values are cut again between their own
+smallest and largest one, so the slices follow the data whatever its distribution.
+No task sees all values of one group, and nothing is approximate.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ from staylens.functions.numbers import bucket_of
 from staylens.session import checkpoint
 
 LINEAR, NEAREST = "linear", "nearest"
+# a bucket of more distinct values is cut into parts of about a sixteenth of it, twice
+CROWDED = 32_768
+CUTS = 1 << 18
 
 
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -49,6 +54,24 @@ def counted(df: DataFrame, by: Sequence[str], value: str | Column) -> DataFrame:
     )
 
 
+def refined(counts: DataFrame, by: Sequence[str], passes: int = 2) -> DataFrame:
+    """`counts` with its crowded buckets cut evenly between their smallest and largest
+    value; the bucket numbers still rise with the values. One row per crowded bucket
+    is joined back; where there is none, adaptive execution drops the join."""
+    for _ in range(passes):
+        crowded = counts.groupBy(*by, "_b").agg(
+            F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        ).where((F.col("_m") > CROWDED) & (F.col("_high") > F.col("_low")))
+        parts = F.least(F.ceil(F.col("_m") * 16 / CROWDED), F.lit(CUTS))
+        # halves, so that the span of the largest doubles does not overflow
+        share = (F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
+        part = F.least(F.floor(share * parts).cast("long"), parts - 1)
+        counts = attach(counts, crowded, [*by, "_b"]).select(
+            *by, (F.col("_b") * CUTS + F.coalesce(part, F.lit(0))).alias("_b"), "_v", "_n"
+        )
+    return counts
+
+
 def bucket_offsets(counts: DataFrame, by: Sequence[str], weight: str = "_n") -> DataFrame:
     """Rows before each bucket of a group and the group's total."""
     group = Window.partitionBy(*by)
@@ -94,6 +117,7 @@ def quantiles_of(
 ) -> DataFrame:
     """`quantiles` from the result of `counted`."""
     by = list(by)
+    counts = refined(counts, by)
     wanted = {
         name: p if isinstance(p, tuple) else (p, LINEAR) for name, p in probabilities.items()
     }
@@ -155,6 +179,7 @@ def average_ranks(df: DataFrame, value: str | Column) -> DataFrame:
 
 def ranks_of(counts: DataFrame) -> DataFrame:
     """`average_ranks` from ungrouped counts (`_b`, `_v`, `_n`)."""
+    counts = refined(counts, [])
     inside = Window.partitionBy("_b").orderBy("_v")
     return attach(counts, bucket_offsets(counts, []), ["_b"], "inner").select(
         F.col("_v").alias("value"),
@@ -169,21 +194,33 @@ def ranks_of(counts: DataFrame) -> DataFrame:
 def first_k(df: DataFrame, by: Sequence[str], order: str, k: int) -> DataFrame:
     """The k rows of each group that come first by a whole-number order column.
 
-    Bucket counts tell how far each group has to be read; only those rows are
-    shuffled and ordered.
+    Every task keeps the first k of its own rows of a group before anything is
+    shuffled (the plan's group limits), so a group with a third of all rows sends k
+    rows per task, whatever its order numbers are. Where k is beyond the session's
+    bound for such limits, the rows are first cut at a quantile of their group.
     """
     by = list(by)
-    marked = df.withColumn("_b", bucket_of(F.col(order)))
-    counts = marked.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    limit = (
-        bucket_offsets(counts, by)
-        .where(F.col("_before") < k)
-        .groupBy(*by)
-        .agg(F.max("_b").alias("_last"))
-    )
-    rows = attach(marked, limit, by, "inner").where(F.col("_b") <= F.col("_last"))
+    if k >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        df = cut_above(df, by, order, k)
     nth = F.row_number().over(Window.partitionBy(*by).orderBy(order))
-    return rows.withColumn("_nth", nth).where(F.col("_nth") <= k).drop("_b", "_last")
+    return df.withColumn("_nth", nth).where(F.col("_nth") <= k)
+
+
+def cut_above(df: DataFrame, by: Sequence[str], order: str, k: int, accuracy: int = 20_000) -> DataFrame:
+    """`df` without most rows that cannot be among the first k of their group: those
+    above the smallest quantile, of a mergeable sketch, that surely has k rows below it."""
+    shares = [0.5**i for i in range(1, 14)]
+    sketch = df.groupBy(*by).agg(
+        F.count(order).alias("_n"), F.percentile_approx(order, shares, accuracy).alias("_cuts")
+    )
+    # ten times the error of the sketch's ranks
+    sure = F.lit(float(k)) / F.col("_n") + F.lit(10.0 / accuracy)
+    cut = F.lit(None)
+    for i, share in enumerate(shares):
+        cut = F.when(sure <= share, F.get("_cuts", F.lit(i))).otherwise(cut)
+    limits = sketch.select(*by, cut.alias("_cut"))
+    keep = F.col("_cut").isNull() | F.col(order).isNull() | (F.col(order) <= F.col("_cut"))
+    return attach(df, limits, by, "inner").where(keep).drop("_cut")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -330,6 +330,26 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     )
 
 
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), size: int = 14) -> DataFrame:
+    """A mergeable sketch of the distinct values per column, with rows and non-null
+    values: one small row per tenant and column, to be stored beside a snapshot. Of
+    2 ** `size` registers; the standard error of a count is 1.04 / 2 ** (`size` / 2)."""
+    long = unpivot(df, by, columns, "string")
+    return long.groupBy(*by, F.col("variable").alias("column")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("non_null"),
+        F.hll_sketch_agg("value", size).alias("sketch"),
+    )
+
+
+def sketched_counts(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """`distinct_counts` from stored sketches of any number of snapshots, merged without
+    reading their rows again; `distinct` is an estimate."""
+    return sketches.groupBy(*by, "column").agg(
+        F.sum("rows").alias("rows"), F.sum("non_null").alias("non_null"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"),
+    )
+
+
 def profile(
     df: DataFrame, dataset: str, by: Sequence[str] = (), order: str = ROW_ID,
     sparse_pct: float = 40.0, id_ratio: float = 0.9, few: int = 1,

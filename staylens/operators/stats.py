@@ -14,10 +14,13 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from staylens.functions.numbers import correlation, ratio
-from staylens.functions.tails import p_chi2, p_f, p_normal, p_t
+from staylens.functions.tails import p_chi2, p_f, p_normal, p_rank_sum, p_t
 from staylens.operators.order import attach, average_ranks, counted, medians, ranks_of
 from staylens.operators.quality import row_to_long
 
+# the exact rank sum test is for small groups; beyond this the normal form has its p
+EXACT_ROWS, EXACT_CELLS = 8, 200_000
+
 
 def effect_label(d: Column) -> Column:
     size = F.abs(d)
@@ -106,11 +109,16 @@ def mann_whitney(pairs: DataFrame, alternative: str = "two-sided") -> DataFrame:
     return one.select(
         u.alias("u"), ratio(gap[alternative], spread).alias("u_z"),
         (1 - ratio(2 * u, na * nb)).alias("rank_biserial"), F.col("n_a"), nb.cast("long").alias("n_b"),
+        (F.col("_ties") > 0).alias("u_ties"),
     )
 
 
 def two_group_statistics(df: DataFrame, value: str, group: str, a, b, alternative: str = "two-sided", log: bool = False) -> DataFrame:
     """Group sizes and medians, Levene, Welch, Mann-Whitney and effect sizes; one row."""
+    return _two_groups(df, value, group, a, b, alternative, log).drop("u_ties")
+
+
+def _two_groups(df: DataFrame, value: str, group: str, a, b, alternative: str, log: bool) -> DataFrame:
     pairs = pairs_of(df, value, group, a, b)
     middle = medians(pairs, ["first"], {"m": "x"}).agg(
         F.max(F.when(F.col("first") == 1, F.col("m"))).alias("median_a"),
@@ -118,22 +126,26 @@ def two_group_statistics(df: DataFrame, value: str, group: str, a, b, alternativ
     )
     base = welch(pairs, log)
     base = attach(base, levene(pairs, log).select("levene_w"), [])
-    base = attach(base, mann_whitney(pairs, alternative).select("u", "u_z", "rank_biserial"), [])
+    base = attach(base, mann_whitney(pairs, alternative).select("u", "u_z", "rank_biserial", "u_ties"), [])
     return attach(base, middle, []).select(
         "n_a", "n_b", "median_a", "median_b", "levene_w", "t", "t_df", "u", "u_z",
         "cohen_d", effect_label(F.col("cohen_d")).alias("effect"), F.abs("rank_biserial").alias("rank_biserial"),
+        "u_ties",
     )
 
 
 def two_group_test(df: DataFrame, value: str, group: str, a, b, alternative: str = "two-sided", log: bool = False) -> DataFrame:
-    """`two_group_statistics` with p-values (Levene is two-sided as always)."""
-    one = two_group_statistics(df, value, group, a, b, alternative, log)
+    """`two_group_statistics` with p-values (Levene is two-sided as always). Mann-Whitney's
+    is exact where a group has at most 8 values and no values are equal."""
+    one = _two_groups(df, value, group, a, b, alternative, log)
+    exact = ~F.col("u_ties") & (F.least("n_a", "n_b") <= EXACT_ROWS) & (F.col("n_a") * F.col("n_b") <= EXACT_CELLS)
+    normal = F.when(F.col("u_z").isNotNull(), F.least(p_normal(F.col("u_z"), alternative), F.lit(1.0)))
     return one.select(
         "*",
         p_f(F.col("levene_w"), F.lit(1.0), (F.col("n_a") + F.col("n_b") - 2).cast("double")).alias("levene_p"),
         p_t(F.col("t"), F.col("t_df"), alternative).alias("t_p"),
-        F.when(F.col("u_z").isNotNull(), F.least(p_normal(F.col("u_z"), alternative), F.lit(1.0))).alias("u_p"),
-    )
+        F.when(exact, p_rank_sum(F.when(exact, F.col("u")), F.col("n_a"), F.col("n_b"), alternative)).otherwise(normal).alias("u_p"),
+    ).drop("u_ties")
 
 
 def k_group_statistics(df: DataFrame, value: str, group: str, min_size: int = 30, log: bool = True) -> DataFrame:

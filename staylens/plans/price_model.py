@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, functions as F
 
 from staylens.functions.parsing import num
@@ -68,8 +67,8 @@ def model_table(listings: DataFrame, key: str = "id") -> ModelTable:
 
 
 def price_model(
-    listings: DataFrame, key: str = "id", candidates: Mapping[str, Callable[[], Estimator]] | None = None,
-    final: Callable[[], Estimator] = models.boosted, folds: int = 5,
+    listings: DataFrame, key: str = "id", candidates: Mapping[str, models.Model] | None = None,
+    final: models.Model = models.boosted, folds: int = 5,
 ) -> dict[str, DataFrame]:
     """Cross-validated errors on the training part, and the final model's errors on the
     held-out part."""

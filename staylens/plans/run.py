@@ -158,14 +158,10 @@ def run(
         quality.layer_drift(datasets["listings"], master), reports_root, "layer_drift"
     )
     # stored dimensions have a known size, by which the fact lookups choose their joins
-    dims = tables.write_tables(
-        warehouse.build_dims(master, calendar, reviews, cities), f"{out}/warehouse", check=False
-    )
-    facts = tables.write_tables(
-        warehouse.build_facts(master, calendar, reviews, dims), f"{out}/warehouse", check=False
-    )
-    star = {**dims, **facts}
-    warehouse.require_keys(star)
+    load = tables.Load(spark, f"{out}/warehouse")
+    dims = load.stage(warehouse.build_dims(master, calendar, reviews, cities))
+    load.stage(warehouse.build_facts(master, calendar, reviews, dims))
+    star = load.publish()
     counts = warehouse.table_counts(star)
 
     reports["quality_report"] = tables.write_report(

@@ -69,3 +69,35 @@ def test_exact_duplicates_with_nulls(spark):
     assert quality.exact_duplicates(df, ["a", "b"]).first()[0] == 3
     assert quality.key_duplicates(df, ["a"]).first()[0] == 3
     assert quality.exact_duplicates(df.where("a = 9"), ["a", "b"]).first()[0] == 0
+
+
+@pytest.mark.parametrize("value", [
+    "40 + id * 4e-9", "1e13 + id", "case when id % 2 = 0 then 1e13 + id * 1e-2 else 1e13 + 5e7 + id end",
+    "case when id = 0 then -1e300 else 1e9 + id end",
+])
+def test_crowded_buckets_follow_the_data(spark, value):
+    df = spark.range(100_000).repartition(8).select(F.expr(value).alias("v"))
+    sizes = order.refined(order.counted(df, [], "v"), []).groupBy("_b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
+    ).orderBy("_b").collect()
+    assert sum(r.n for r in sizes) == 100_000 and max(r.n for r in sizes) <= 8192
+    assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+    values = sorted(r.v for r in df.collect())
+    assert order.quantiles(df, [], "v", {"m": 0.5}).first().m == pytest.approx(statistics.median(values), rel=1e-12)
+    assert order.average_ranks(df, "v").agg(F.sum("rank")).first()[0] == 100_000 * 100_001 / 2
+
+
+def test_first_k_is_cut_before_the_shuffle(spark):
+    """A hot group sends few rows to the task that orders it, in either way."""
+    df = spark.range(200_000).repartition(8).select(
+        F.when(F.col("id") % 3 > 0, "hot").alias("g"),
+        F.when(F.col("id") < 3, F.col("id")).otherwise(F.lit(10**13) + F.col("id")).alias("r"),
+    )
+    plan = order.first_k(df, ["g"], "r", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan[plan.rindex("Exchange hashpartitioning(g"):]
+    assert order.cut_above(df, ["g"], "r", 1000).count() < 5000
+    for k in (5, 1000, 3000):
+        found = order.first_k(df, ["g"], "r", k).collect()
+        for g, start in (("hot", 1), (None, 0)):
+            ids = [i for i in range(start, 3 * k + 3) if (i % 3 > 0) == (start == 1)][:k]
+            assert sorted(r.r for r in found if r.g == g) == sorted(i if i < 3 else 10**13 + i for i in ids)

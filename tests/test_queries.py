@@ -16,13 +16,13 @@ def beats_the_mean(df) -> str | None:
     own, plain = (sum(e * e for e in errors) for errors in (
         [r["label"] - r["prediction"] for r in rows], [r["label"] - mean for r in rows],
     ))
-    return None if len(rows) > 100 and own < 1.2 * plain else f"{own} against {plain} on {len(rows)} rows"
+    return None if len(rows) > 100 and own < 0.3 * plain else f"{own} against {plain} on {len(rows)} rows"
 
 
 def three_models(df) -> str | None:
     rows = df.collect()
     ordered = [r["rmse"] for r in rows]
-    good = len(rows) == 3 and ordered == sorted(ordered) and all(0 < r["mae"] <= r["rmse"] < 2 for r in rows)
+    good = len(rows) == 3 and ordered == sorted(ordered) and rows[-1]["model"] == "Linear Regression" and all(0 < r["mae"] <= r["rmse"] < 2 for r in rows)
     return None if good else str(rows)
 
 

@@ -153,10 +153,28 @@ def test_failed_answer_is_recorded(spark, result, tmp_path):
 
 
 def test_broken_keys_stop_the_load(spark, result, tmp_path):
-    broken = {n: result[n] for n in warehouse.TABLES}
-    broken["dim_city"] = broken["dim_city"].where("city_key = 'north'")
+    good = {n: result[n] for n in warehouse.TABLES}
+    root = str(tmp_path)
+    tables.write_tables(good, root)
+    before = {n: rows(df, *df.columns) for n, df in tables.current_tables(spark, root).items()}
+    assert set(before) == set(warehouse.TABLES) and before["dim_city"] == rows(good["dim_city"], *good["dim_city"].columns)
     with pytest.raises(ValueError, match="orphans"):
-        tables.write_tables(broken, str(tmp_path))
+        tables.write_tables({**good, "dim_city": good["dim_city"].where("city_key = 'north'")}, root)
+    # a part of the tables is checked against those that stay
+    with pytest.raises(ValueError, match="orphans"):
+        tables.write_tables({"dim_room_type": good["dim_room_type"].limit(1)}, root)
+    # interrupted between staging and publishing
+    tables.Load(spark, root).stage({"dim_city": good["dim_city"].limit(0)})
+    assert {n: rows(df, *df.columns) for n, df in tables.current_tables(spark, root).items()} == before
+    more = good["dim_city"].unionByName(good["dim_city"].where("city_key = 'north'").withColumn("city_key", F.lit("west")))
+    tables.write_tables({"dim_city": more}, root)
+    now = tables.current_tables(spark, root)
+    assert now["dim_city"].count() == len(before["dim_city"]) + 1
+    assert {n: rows(df, *df.columns) for n, df in now.items() if n != "dim_city"} == {
+        n: r for n, r in before.items() if n != "dim_city"
+    }
+    assert len(tables.drop_old_loads(spark, root)) == 3
+    assert tables.current_tables(spark, root)["fact_listing"].count() == len(before["fact_listing"])
 
 
 def test_documentation(result):

@@ -90,3 +90,25 @@ def test_models(spark):
     assert again == {r.id for r in test.collect()}
     weights = models.feature_importance(ready, ["a", "b"], lambda: models.forest(trees=5, depth=5)).collect()
     assert sum(w.importance for w in weights) == pytest.approx(1.0)
+
+
+def test_exact_rank_sums(spark):
+    """Small groups without equal values: p by counting all orders in SQL."""
+    import duckdb
+
+    a, b = [1.5, 9.0, 4.0, 7.5, 3.25], [2.0, 8.0, 10.0, 11.0, 12.5, 6.0]
+    counted = duckdb.sql(
+        """
+        WITH o AS (SELECT bit_count(m) AS n, list_sum([CASE WHEN (m >> i) & 1 = 1 THEN i + 1 ELSE 0 END FOR i IN range(11)]) - 15 AS u
+                   FROM (SELECT unnest(range(2048)) AS m))
+        SELECT u, count(*) FROM o WHERE n = 5 GROUP BY 1
+        """
+    ).fetchall()
+    u = sum(x > y for x in a for y in b)
+    total = sum(n for _, n in counted)
+    more, less = (sum(n for v, n in counted if ok(v)) / total for ok in (lambda v: v >= u, lambda v: v <= u))
+    for alternative, p in (("greater", more), ("less", less), ("two-sided", min(1, 2 * min(more, less)))):
+        one = stats.two_group_test(frame(spark, {"x": a, "y": b}), "v", "g", "x", "y", alternative).first()
+        assert one.u == u and abs(one.u_p - p) < 1e-12, alternative
+    tied = stats.two_group_test(frame(spark, {"x": [*a, 2.0], "y": b}), "v", "g", "x", "y").first()
+    assert tied.u_p is not None and "u_ties" not in tied.asDict()
