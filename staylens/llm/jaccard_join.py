@@ -187,9 +187,9 @@ def part_batch(keys: list[np.ndarray], nodes: list[np.ndarray], needs: list[np.n
 
 
 def bits_of(keys: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over the names in `keys`: a name whose bit is not set is
-    not among them. However many names there are, it has `FILTER_BITS` bits."""
-    at = F.expr(f"shiftrightunsigned(key, 6) & {FILTER_BITS - 1}L")
+    """A bitmap of fixed size over the short names in `keys`: a name whose bit is not set
+    is not among them. However many names there are, it has `FILTER_BITS` bits."""
+    at = F.expr(f"short & {FILTER_BITS - 1}L")
     words = keys.select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
     )
@@ -358,22 +358,21 @@ def tile_links(rule: Rule):
     return each
 
 
-def candidate_clusters(texts: DataFrame, rule: Rule) -> DataFrame:
+def candidate_clusters(texts: DataFrame, rule: Rule, shingles: int) -> DataFrame:
     """`node`, `cluster`, `weight` (parts shared with others) of the nodes that may
-    link with another."""
+    link with another; `shingles` is the number of shingles of all texts."""
     schema = "key long, node long, need int"
     body = texts.select("body")
+    # the first pass only counts, by names as short as their number allows: six bits more
+    # than it takes to tell all of them apart leave few that meet by chance
+    bits = min(58, max(FILTER_BITS.bit_length() - 1, shingles.bit_length() + 6))
+    short = F.expr(f"shiftrightunsigned(key, 6) & {(1 << bits) - 1}L").alias("short")
     met = written(
-        body.mapInArrow(parts_of(rule), schema)
-        .groupBy("key")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low < high")
-        .select("key")
+        body.mapInArrow(parts_of(rule), schema).select(short).groupBy("short").count().where("count > 1").select("short")
     )
     # the second pass makes few names that nobody shares
-    shared = written(
-        body.mapInArrow(parts_of(rule, bits_of(met)), schema).join(if_small(met, 8), "key", "left_semi").distinct()
-    )
+    again = body.mapInArrow(parts_of(rule, bits_of(met)), schema).select("*", short)
+    shared = written(again.join(if_small(met, 8), "short", "left_semi").drop("short").distinct())
     # nodes that share too few parts of a range link with nobody there
     k = F.col("key").bitwiseAND(F.lit(63)).alias("k")
     enough = written(
@@ -401,8 +400,8 @@ def candidate_clusters(texts: DataFrame, rule: Rule) -> DataFrame:
 def set_links(texts: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     """`a`, `b`: links between nodes that join all linked nodes of each cluster.
 
-    `texts` has (`doc_id`, `mark`, `body`), `known` (`doc_id`, `mark`, `node`)."""
-    clusters = candidate_clusters(texts, rule)
+    `texts` has (`doc_id`, `mark`, `body`), `known` (`doc_id`, `mark`, `n`, `node`)."""
+    clusters = candidate_clusters(texts, rule, known.agg(F.sum("n")).first()[0] or 0)
     # one text stands for all rows of a node
     firsts = known.groupBy("node").agg(F.min(F.struct("mark", "doc_id")).alias("first"))
     sources = written(
@@ -456,7 +455,7 @@ def grouped_rows(docs: DataFrame, id: str, text: str, rule: Rule) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(body).alias("mark"), body.alias("body"))
     rows = written(texts.mapInArrow(described(rule), "doc_id long, mark long, n long, node long"))
-    links = written(set_links(texts, rows.where("n > 0").select("doc_id", "mark", "node"), rule))
+    links = written(set_links(texts, rows.where("n > 0"), rule))
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     labels = written(components(nodes, links).select("node", "label"))
     labelled = written(
