@@ -177,13 +177,36 @@ def rounded_up(rated: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mixed(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
-    weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = int(MOST), seed: int = 1,
-    with_source: bool = False,
-) -> DataFrame:
-    """id, `size`, `source_size`, `target` (its source's), `rate`, `copies`,
-    `taken` (size times copies) of every row, and with `with_source` the source."""
+def rate_of(most: float) -> Column:
+    """Copies of a document of `size` words before rounding, by `tilt` and `mean` of its source."""
+    return F.when(F.col("tilt") == float("inf"), F.lit(float(most))).when(
+        F.col("tilt") == float("-inf"), F.lit(0.0)
+    ).otherwise(most / (1 + F.exp(-F.col("tilt") * F.col("size") / F.col("mean"))))
+
+
+def floor_of(most: int) -> Column:
+    return F.least(F.floor("rate"), F.lit(most - 1)).cast("long")
+
+
+def place_of(id: str, seed: int) -> Column:
+    """Where a document stands on the way to one copy more: its fixed number less its rest."""
+    return spread(id, seed=seed) - (F.col("rate") - F.col("floor"))
+
+
+def copies_of() -> Column:
+    """`floor`, and one more below the switch point (`_bucket`, `_part`) of the source."""
+    place = (F.col("at") + 1) / 2 * BUCKETS
+    bucket, part = F.floor(place), F.floor((place - F.floor(place)) * BUCKETS)
+    below = (bucket < F.col("_bucket")) | ((bucket == F.col("_bucket")) & (part < F.col("_part")))
+    return (F.col("floor") + F.when(below, F.lit(1)).otherwise(F.lit(0))).cast("long")
+
+
+def planned(
+    docs: DataFrame, id: str, text: str, source: str, weights: Sequence[float], share: float, most: int, seed: int,
+    with_source: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with `rate`, `floor` and `at`, and the plan: per source its name, numbers,
+    tilt and switch point."""
     size = word_count(text)
     sized = written(docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), size.alias("size")))
     last = F.col("source").isNull()
@@ -195,27 +218,30 @@ def mixed(
     counts = written(rows.groupBy("source_no", "size").agg(F.count(F.lit(1)).alias("n")))
     totals = counts.select("source_no", (F.col("size") * F.col("n")).alias("size"))
     state = tilts(counts, source_targets(totals, weights, share, most), most)
-    known = if_small(written(state), 48)
-    rate = F.when(F.col("tilt") == float("inf"), F.lit(float(most))).when(
-        F.col("tilt") == float("-inf"), F.lit(0.0)
-    ).otherwise(most / (1 + F.exp(-F.col("tilt") * F.col("size") / F.col("mean"))))
-    floor = F.least(F.floor("rate"), F.lit(most - 1)).cast("long")
+    known = written(state)
     rated = written(
-        rows.join(known, "source_no")
-        .withColumn("rate", rate)
-        .withColumn("floor", floor)
-        .withColumn("at", spread("doc_id", seed=seed) - (F.col("rate") - F.col("floor")))
+        rows.join(if_small(known, 48), "source_no")
+        .withColumn("rate", rate_of(most))
+        .withColumn("floor", floor_of(most))
+        .withColumn("at", place_of("doc_id", seed))
     )
     switch = rounded_up(rated.select("source_no", "size", "floor", "at"), state).select(
         "source_no", F.col("bucket").alias("_bucket"), F.col("part").alias("_part")
     )
-    place = (F.col("at") + 1) / 2 * BUCKETS
-    bucket, part = F.floor(place), F.floor((place - F.floor(place)) * BUCKETS)
-    below = (bucket < F.col("_bucket")) | ((bucket == F.col("_bucket")) & (part < F.col("_part")))
-    copies = F.col("floor") + F.when(below, F.lit(1)).otherwise(F.lit(0))
+    return rated, written(numbers.join(known, "source_no").join(switch, "source_no"))
+
+
+def mixed(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
+    weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = int(MOST), seed: int = 1,
+    with_source: bool = False,
+) -> DataFrame:
+    """id, `size`, `source_size`, `target` (its source's), `rate`, `copies`,
+    `taken` (size times copies) of every row, and with `with_source` the source."""
+    rated, plan = planned(docs, id, text, source, weights, share, most, seed, with_source)
     return (
-        rated.join(if_small(switch, 16), "source_no")
-        .withColumn("copies", copies.cast("long"))
+        rated.join(if_small(plan.select("source_no", "_bucket", "_part"), 16), "source_no")
+        .withColumn("copies", copies_of())
         .select(
             F.col("doc_id").alias(id), "size", "source_size", "target", "rate", "copies",
             (F.col("copies") * F.col("size")).alias("taken"),
@@ -224,19 +250,23 @@ def mixed(
     )
 
 
-def mixture(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """`docs` as the mix takes them: every row as often as its copies say."""
-    plan = written(
-        mixed(docs, id, text, source, with_source=True, **options)
-        .select(F.col(id).alias("_id"), F.col(source).alias("_source"), F.col("size").alias("_size"), "copies")
+def mixture(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
+    weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = int(MOST), seed: int = 1,
+) -> DataFrame:
+    """`docs` as the mix takes them: every row as often as its copies say.
+
+    A row's copies follow from its size, its id and the plan of its source, so the rows
+    meet one small row per source and their texts stay where they are."""
+    _, plan = planned(docs, id, text, source, weights, share, most, seed, False)
+    row = whole(docs)
+    chosen = (
+        row.join(if_small(plan.withColumnRenamed("source", "_source"), 96), F.col(f"all.`{source}`").eqNullSafe(F.col("_source")))
+        .withColumn("size", word_count(f"all.`{text}`"))
+        .withColumn("rate", rate_of(most))
+        .withColumn("floor", floor_of(most))
+        .withColumn("at", place_of(f"all.`{id}`", seed))
+        .withColumn("copies", copies_of())
         .where("copies > 0")
-        .distinct()
-    )
-    # rows with the same id, source and size have the same number of copies
-    same = (
-        F.col(f"all.`{id}`").eqNullSafe(F.col("_id"))
-        & F.col(f"all.`{source}`").eqNullSafe(F.col("_source"))
-        & (word_count(f"all.`{text}`") == F.col("_size"))
     )
-    chosen = whole(docs).join(if_small(plan, 64), same)
-    return chosen.select("all", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("all.*")
+    return chosen.select("all", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("all.*")
