@@ -177,11 +177,13 @@ def average_ranks(df: DataFrame, value: str | Column) -> DataFrame:
     return ranks_of(counted(df, [], value))
 
 
-def ranks_of(counts: DataFrame) -> DataFrame:
-    """`average_ranks` from ungrouped counts (`_b`, `_v`, `_n`)."""
-    counts = refined(counts, [])
-    inside = Window.partitionBy("_b").orderBy("_v")
-    return attach(counts, bucket_offsets(counts, []), ["_b"], "inner").select(
+def ranks_of(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """`average_ranks`, within groups, from the result of `counted`."""
+    by = list(by)
+    counts = refined(counts, by)
+    inside = Window.partitionBy(*by, "_b").orderBy("_v")
+    return attach(counts, bucket_offsets(counts, by), [*by, "_b"], "inner").select(
+        *by,
         F.col("_v").alias("value"),
         F.col("_n").alias("t"),
         (

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from staylens.functions.numbers import correlation, ratio
 from staylens.functions.tails import p_chi2, p_f, p_normal, p_rank_sum, p_t
-from staylens.operators.order import attach, average_ranks, counted, medians, ranks_of
+from staylens.operators.order import attach, average_ranks, counted, medians, ranks_of, unpivot
 from staylens.operators.quality import row_to_long
 
 # the exact rank sum test is for small groups; beyond this the normal form has its p
@@ -219,13 +219,15 @@ def slope(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rank correlation of every pair of columns over rows without a null. Rank
-    tables hold distinct values only; while they are small the rows stay put."""
-    whole = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    ranked = whole
-    for i, c in enumerate(columns):
-        ranks = average_ranks(whole, c).select(F.col("value").alias(c), F.col("rank").alias(f"_r{i}"))
-        ranked = ranked.join(ranks, c)
+    """Rank correlation of every pair of columns over rows without a null. All columns
+    are ranked as one long table, whose ranks are joined back and laid out once."""
+    whole = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]).dropna()
+    names = [f"_c{i}" for i in range(len(columns))]
+    long = unpivot(whole.withColumn("_row", F.monotonically_increasing_id()), ["_row"], names)
+    ranks = ranks_of(counted(long, ["variable"], "value"), ["variable"]).select("variable", "value", "rank")
+    ranked = long.join(ranks, ["variable", "value"]).groupBy("_row").agg(
+        *[F.max(F.when(F.col("variable") == c, F.col("rank"))).alias(f"_r{i}") for i, c in enumerate(names)]
+    )
     pairs = list(combinations(range(len(columns)), 2))
     one = ranked.agg(*[correlation(F.col(f"_r{i}"), F.col(f"_r{j}")).alias(f"_{i}_{j}") for i, j in pairs])
 
