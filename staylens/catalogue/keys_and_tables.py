@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from staylens.catalogue.registry import query, rounded
@@ -417,3 +419,73 @@ def _(t):
 @query("M4_median_fill_in_place", "SELECT id, coalesce(bedrooms, (SELECT median(bedrooms) FROM listing)) AS bedrooms, bedrooms IS NULL AS bedrooms_imputed FROM listing")
 def _(t):
     return features.fill_medians(t.listing("id", "bedrooms"), ["bedrooms"])
+
+
+def scratch(t, name: str) -> str:
+    """A new folder beside the session's checkpoints, which all executors share."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "S3_S4_new_files",
+    " UNION ALL ".join(
+        f"SELECT {run} AS run, concat('city_key=', city_key) AS city_key, CAST(count(*) AS BIGINT) AS rows FROM listing WHERE {which} GROUP BY city_key"
+        for run, which in ((1, "id % 2 = 0"), (2, "id % 2 = 1"), (4, "true"))
+    ),
+)
+def _(t):
+    """Two batches of files arrive one after the other; a run reads those that no earlier
+    one has read. The third run finds nothing new, the fourth is forced to read all."""
+    root, known, found = scratch(t, "arrivals"), None, []
+    listing = t.listing("city_key", "id", "room_type", "price").withColumn("snapshot_date", F.when(F.col("id") % 2 == 0, "2024-06-15").otherwise("2024-07-15"))
+    for run, batch in ((1, "2024-06-15"), (2, "2024-07-15"), (3, None), (4, None)):
+        if batch:
+            own = listing.where(F.col("snapshot_date") == batch)
+            own.write.mode("append").option("header", "true").partitionBy("city_key", "snapshot_date").csv(root)
+        manifest = checkpoint(files.file_manifest(t.spark, root, known))
+        # one row per file
+        fresh = sorted((r["url"], r["header"]) for r in files.new_files(manifest, known, force=run == 4).collect())
+        if fresh:
+            rows = files.bronze(t.spark, fresh).groupBy("city_key").agg(F.count("id").alias("rows"))
+            found.append(rows.select(F.lit(run).alias("run"), "city_key", "rows"))
+        known = manifest
+    return quality.stack(found)
+
+
+PUBLISHED_ROWS = {
+    "dim_city": "count(DISTINCT city_key)", "dim_date": "count(DISTINCT snapshot_date)",
+    "dim_host": "count(DISTINCT coalesce(host_id, -1))", "dim_neighbourhood": "count(DISTINCT (city_key, neighbourhood_std))",
+    "dim_property": "count(DISTINCT (property_type_clean, property_family))", "dim_room_type": "count(DISTINCT room_type)",
+    "fact_listing": "count(*)",
+}
+
+
+@query(
+    "S9_S6_published_load",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS \"table\", CAST({c} AS BIGINT) AS rows, CAST({2 if n == 'dim_room_type' else 1} AS BIGINT) AS loads, TRUE AS refused FROM listing"
+        for n, c in PUBLISHED_ROWS.items()
+    ),
+)
+def _(t):
+    """A load, one that is refused for its keys, and one of a single table: what readers see."""
+    root, master = scratch(t, "warehouse"), t.listing(*MASTER)
+    dims = {
+        **_dims(master), "dim_city": warehouse.city_table(master, _cities()),
+        "dim_date": warehouse.date_table([(master, "snapshot_date")]),
+    }
+    load = tables.Load(t.spark, root)
+    stored = load.stage(dims)
+    load.stage({"fact_listing": warehouse.listing_facts(master, stored)})
+    load.publish()
+    rooms = stored["dim_room_type"]
+    try:
+        tables.write_tables({"dim_room_type": rooms.where("room_type_sk > 1")}, root)
+        refused = False
+    except ValueError:
+        refused = True
+    tables.write_tables({"dim_room_type": rooms}, root)
+    loads = tables.published(t.spark, root).groupBy("table").agg(F.count(F.lit(1)).alias("loads"))
+    counts = warehouse.table_counts(tables.current_tables(t.spark, root))
+    return counts.join(loads, "table").select("table", "rows", "loads", F.lit(refused).alias("refused"))

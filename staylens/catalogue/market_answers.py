@@ -454,12 +454,69 @@ def _dense(t):
     )
 
 
-@query("G2_density_clusters")
+# the plain way: all pairs of places of a group, and the smallest member spread over links
+CLUSTERS = """
+WITH RECURSIVE placed AS (
+    SELECT o_orderpriority AS room_type, -37.8e0 + q * 0.01e0 + (k * 7919 % 997) / 250000e0 AS lat,
+           144.9e0 + q * 0.013e0 + (k * 104729 % 991) / 200000e0 AS lon
+    FROM (SELECT *, o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 1 THEN o_orderkey % 7 ELSE o_orderkey % 61 END AS q FROM orders)
+),
+points AS MATERIALIZED (
+    SELECT *, row_number() OVER (ORDER BY room_type, lat, lon) AS id
+    FROM (SELECT room_type, lat, lon, count(*) AS w FROM placed GROUP BY ALL)
+),
+near AS MATERIALIZED (
+    SELECT a.id AS a, b.id AS b, b.w FROM points a JOIN points b
+    ON a.room_type = b.room_type AND b.lat BETWEEN a.lat - 0.0028 AND a.lat + 0.0028
+    WHERE 12742 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2)
+          + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) <= 0.3
+),
+core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY 1 HAVING sum(w) >= 30),
+links AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core) AND a <> b),
+labels(id, label) USING KEY (id) AS (
+    SELECT id, id FROM core
+    UNION
+    SELECT l.a, min(n.label) FROM labels n JOIN links l ON n.id = l.b JOIN recurring.labels o ON o.id = l.a
+    WHERE n.label < o.label GROUP BY 1
+),
+"""
+# clusters are numbered by their first grid cell
+CELLS = """
+rows AS (SELECT *, floor(lat / h) AS gy FROM points, (SELECT 0.3e0 / sqrt(2e0) / radians(1e0) / 6371e0 * (1 - 1e-6) AS h)),
+cells AS (
+    SELECT id, room_type, gy, floor(lon / (h / greatest(cos(radians(least((CASE WHEN gy >= 0 THEN gy ELSE -gy - 1 END) * h, 89.9e0))), 1e-3))) AS gx
+    FROM rows
+),
+numbers AS (
+    SELECT label, CAST(row_number() OVER (ORDER BY first) - 1 AS BIGINT) AS cluster
+    FROM (SELECT label, min((room_type, gy, gx)) AS first FROM labels JOIN cells USING (id) GROUP BY 1)
+),
+touched AS (SELECT a AS id, min(cluster) AS cluster FROM near JOIN labels ON b = labels.id JOIN numbers USING (label) GROUP BY 1),
+own AS (SELECT id, cluster FROM labels JOIN numbers USING (label))
+"""
+
+
+@query(
+    "G2_density_clusters",
+    f"""{CLUSTERS}{CELLS}
+    SELECT room_type, round(lat, 6) AS lat, round(lon, 6) AS lon, w, own.id IS NOT NULL AS core,
+           coalesce(own.cluster, touched.cluster, -1) AS cluster
+    FROM points LEFT JOIN own USING (id) LEFT JOIN touched USING (id)
+    """,
+)
 def _(t):
-    """Checked against brute force in the tests: SQL has no transitive density."""
     return rounded(geo.dbscan(_dense(t), by=["room_type"]), 6)
 
 
-@query("G2_cluster_count")
+@query(
+    "G2_cluster_count",
+    f"""{CLUSTERS}
+    held AS (SELECT a AS id, bool_or(b IN (FROM core)) AS inside FROM near GROUP BY 1),
+    counted AS (SELECT room_type, count(DISTINCT label) AS clusters FROM labels JOIN points USING (id) GROUP BY 1)
+    SELECT room_type, coalesce(any_value(clusters), 0) AS clusters, CAST(coalesce(sum(w) FILTER (inside), 0) AS BIGINT) AS clustered,
+           CAST(coalesce(sum(w) FILTER (NOT inside), 0) AS BIGINT) AS noise
+    FROM points JOIN held USING (id) LEFT JOIN counted USING (room_type) GROUP BY room_type
+    """,
+)
 def _(t):
     return geo.cluster_count(geo.dbscan(_dense(t), by=["room_type"]), ["room_type"])
