@@ -93,6 +93,10 @@ def levene(pairs: DataFrame, log: bool = False) -> DataFrame:
 
 def mann_whitney(pairs: DataFrame, alternative: str = "two-sided") -> DataFrame:
     """U of group a and its z with tie and continuity correction."""
+    return _rank_sums(pairs, alternative).drop("u_ties")
+
+
+def _rank_sums(pairs: DataFrame, alternative: str) -> DataFrame:
     own = pairs.groupBy("x").agg(F.sum("first").alias("n_a"))
     ranked = average_ranks(pairs, "x").join(own, F.col("value") == F.col("x"))
     t = F.col("t").cast("double")
@@ -126,7 +130,7 @@ def _two_groups(df: DataFrame, value: str, group: str, a, b, alternative: str, l
     )
     base = welch(pairs, log)
     base = attach(base, levene(pairs, log).select("levene_w"), [])
-    base = attach(base, mann_whitney(pairs, alternative).select("u", "u_z", "rank_biserial", "u_ties"), [])
+    base = attach(base, _rank_sums(pairs, alternative).select("u", "u_z", "rank_biserial", "u_ties"), [])
     return attach(base, middle, []).select(
         "n_a", "n_b", "median_a", "median_b", "levene_w", "t", "t_df", "u", "u_z",
         "cohen_d", effect_label(F.col("cohen_d")).alias("effect"), F.abs("rank_biserial").alias("rank_biserial"),
