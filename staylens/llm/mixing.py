@@ -16,7 +16,11 @@ shuffle, and joined by broadcast only when their count proves them small.
 
 Null and empty texts have size 0 and are taken 0 words. A null source is a source
 of its own, last in order. Rows that repeat an id are separate documents with the
-same number. An empty table gives an empty result.
+same number. Documents of one size and source have the same rate and differ only by
+their numbers; equal numbers at the switch point fall on one side together, so a source
+misses its target by at most those documents. Very long texts are counted whole; one
+that is longer than what its target leaves open may be left out. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ All steps are DataFrame operations. Entries with a null key or moment say nothin
 Of several entries of a key at one moment `remove` wins, entries with other actions
 are left out. A capture without url, host or fetch moment matches nothing and is kept
 with 0 matches. Rows that repeat a capture are evaluated one by one; an entry that
-is repeated counts once. Empty tables give an empty result, or 0 matches.
+is repeated counts once. Urls are read whole; a url with a path of n segments makes n
+keys, the longest as long as the url. Empty tables give an empty result, or 0 matches.
 """
 
 from __future__ import annotations
