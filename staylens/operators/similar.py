@@ -8,6 +8,10 @@ found by joins on keys that every matching pair shares:
   names one replaced character apart share a copy without it;
 * for larger distances d, d + 1 segments of the shorter name are looked up in
   the longer one, where at least one must occur unchanged and barely shifted.
+
+A name has about as many keys as letters. The planner takes the exploded keys for as
+small as the names, so joins on them are marked as merge joins: no side is broadcast.
+Keys travel with a name's number; names are brought back for the pairs that were found.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from staylens.functions.similarity import common_length
 from staylens.functions.text import sorted_tokens
 from staylens.operators.order import attach
 from staylens.operators.quality import ROW_ID, SET, labelled
+from staylens.session import checkpoint
 
 BLOCK = (SET, "_y", "_x", "_block")
 CELL_DEGREES, SIMILARITY = 0.0005, 98.0
@@ -55,6 +60,26 @@ def without(c: Column, at: Column) -> Column:
     return F.when(at == 0, c).otherwise(cut)
 
 
+def with_names(found: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs of numbers `_a`, `_b` with their names (`_one` is the shorter, or the first of
+    equal length), rows and places (`_at_a`, `_at_b`), if any; only pairs of one block."""
+    def side(tag: str) -> DataFrame:
+        name = F.struct(F.col("_len"), F.col("_text"), F.col("_rows")).alias(f"_name_{tag}")
+        return names.select(F.col("_id").alias(f"_{tag}"), F.struct(*BLOCK).alias(f"_block_{tag}"), name)
+
+    met = found.join(side("a").hint("merge"), "_a").join(side("b").hint("merge"), "_b")
+    one, two = F.least("_name_a", "_name_b"), F.greatest("_name_a", "_name_b")
+    return met.where("_block_a = _block_b").select(
+        "_block_a.*", one["_text"].alias("_one"), two["_text"].alias("_two"),
+        one["_rows"].alias("rows_a"), two["_rows"].alias("rows_b"),
+        F.col("_name_a._text").alias("_text_a"), F.col("_name_b._text").alias("_text_b"),
+        *[c for c in found.columns if c not in ("_a", "_b", "_key")],
+    )
+
+
+FOUND = (*BLOCK, "_one", "_two", "rows_a", "rows_b")
+
+
 def one_edit_pairs(names: DataFrame, threshold: float) -> DataFrame:
     """Pairs at distance 1 (one more character) or 2 (one replaced)."""
     size = F.col("_len")
@@ -66,24 +91,22 @@ def one_edit_pairs(names: DataFrame, threshold: float) -> DataFrame:
         F.when(shorter, F.array(F.lit(0))).otherwise(none),
         F.when(longer | equal, F.sequence(F.lit(1), size)).otherwise(none),
     )
-    keyed = names.select(*BLOCK, "_text", "_len", F.explode(places).alias("_at")).select(
-        "*", F.xxhash64(without(F.col("_text"), F.col("_at"))).alias("_key"), (F.col("_at") == 0).alias("_whole")
+    keyed = names.select(*BLOCK, "_text", "_len", "_id", F.explode(places).alias("_at")).select(
+        F.xxhash64(*BLOCK, without(F.col("_text"), F.col("_at"))).alias("_key"), "_id", "_len", "_at"
     )
-    a = keyed.select(*BLOCK, "_key", *[F.col(c).alias(f"{c}_a") for c in ("_text", "_len", "_whole", "_at")])
-    b = keyed.where("not _whole").select(*BLOCK, "_key", *[F.col(c).alias(f"{c}_b") for c in ("_text", "_len", "_at")])
-    inserted = F.col("_whole_a") & (F.col("_len_b") == F.col("_len_a") + 1)
+    a, b = keyed.toDF("_key", "_a", "_len_a", "_at_a"), keyed.where("_at > 0").toDF("_key", "_b", "_len_b", "_at_b")
+    inserted = (F.col("_at_a") == 0) & (F.col("_len_b") == F.col("_len_a") + 1)
     replaced = (
-        ~F.col("_whole_a") & (F.col("_len_a") == F.col("_len_b")) & (F.col("_text_a") < F.col("_text_b"))
+        (F.col("_at_a") > 0) & (F.col("_len_a") == F.col("_len_b")) & (F.col("_a") < F.col("_b"))
         & (allowed(F.col("_len_a"), F.col("_len_b"), threshold) >= 2)
     )
+    found = a.join(b.hint("merge"), "_key").where(inserted | replaced).select("_a", "_b", "_at_a", "_at_b")
+    # the hashes of keys may agree by chance
     alike = without(F.col("_text_a"), F.col("_at_a")) == without(F.col("_text_b"), F.col("_at_b"))
     return (
-        a.join(b, [*BLOCK, "_key"])
-        .where((inserted | replaced) & alike)
-        .select(
-            *BLOCK, F.col("_text_a").alias("_one"), F.col("_text_b").alias("_two"),
-            F.when(F.col("_whole_a"), 1).otherwise(2).alias("_distance"),
-        )
+        with_names(found, names)
+        .where(alike)
+        .select(*FOUND, F.when(F.col("_at_a") == 0, 1).otherwise(2).alias("_distance"))
         .distinct()
     )
 
@@ -106,10 +129,11 @@ def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
             (F.floor((F.col("_seg") + 1) * short / parts) - F.floor(F.col("_seg") * short / parts)).cast("int").alias("_size"),
         )
 
-    base = names.select(*BLOCK, "_text", "_len", F.explode(gaps).alias("_gap"))
+    base = names.select(*BLOCK, "_text", "_len", "_id", F.explode(gaps).alias("_gap"))
+    key = [*BLOCK, "_short", "_gap", "_seg"]
     index = with_plan(base.withColumn("_short", F.col("_len"))).select(
-        *BLOCK, "_short", "_gap", "_seg", F.col("_text").alias("_one"),
-        F.xxhash64(F.substring("_text", F.col("_from") + 1, F.col("_size"))).alias("_key"),
+        F.xxhash64(*key, F.substring("_text", F.col("_from") + 1, F.col("_size"))).alias("_key"),
+        F.col("_id").alias("_a"), "_gap",
     )
     lost = ((F.col("_d") - F.col("_gap")) / 2).cast("int")
     gained = ((F.col("_d") + F.col("_gap")) / 2).cast("int")
@@ -119,40 +143,41 @@ def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
         .withColumn("_at", F.col("_from") + F.col("_shift"))
         .where((F.col("_at") >= 0) & (F.col("_at") + F.col("_size") <= F.col("_len")))
         .select(
-            *BLOCK, "_short", "_gap", "_seg", F.col("_text").alias("_two"),
-            F.xxhash64(F.substring("_text", F.col("_at") + 1, F.col("_size"))).alias("_key"),
+            F.xxhash64(*key, F.substring("_text", F.col("_at") + 1, F.col("_size"))).alias("_key"),
+            F.col("_id").alias("_b"),
         )
     )
-    found = index.join(probe, [*BLOCK, "_short", "_gap", "_seg", "_key"]).where(
-        (F.col("_gap") > 0) | (F.col("_one") < F.col("_two"))
-    )
-    pairs = found.select(*BLOCK, "_one", "_two").distinct()
+    found = index.join(probe.hint("merge"), "_key").where((F.col("_gap") > 0) | (F.col("_a") < F.col("_b")))
+    pairs = with_names(found.select("_a", "_b").distinct(), names).select(*FOUND)
     la, lb = F.length("_one"), F.length("_two")
     most = allowed(la, lb, threshold)
     # a replaced letter costs 1 here and 2 there, so this never drops a match
     close = pairs.where(F.levenshtein("_one", "_two") <= most)
     distance = la + lb - 2 * common_length(F.col("_one"), F.col("_two"))
-    return close.withColumn("_distance", distance).where(F.col("_distance") <= most)
+    return close.withColumn("_distance", distance).where(F.col("_distance") <= most).select(*FOUND, "_distance")
 
 
 def similar_names(rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Matching pairs of different token strings and repeated equal ones, with the
     score and the number of rows on either side. Linear in the distinct names."""
     names = rows.groupBy(*BLOCK, "_text").agg(F.count(F.lit(1)).alias("_rows"))
+    # numbered once: a number must not change between the joins
+    names = checkpoint(names.select("*", F.length("_text").alias("_len"), F.monotonically_increasing_id().alias("_id")))
     equal = names.where("_rows > 1").select(
-        *BLOCK, F.col("_text").alias("_one"), F.col("_text").alias("_two"), F.lit(0).alias("_distance")
+        *BLOCK, F.col("_text").alias("_one"), F.col("_text").alias("_two"), F.lit(0).alias("_distance"),
+        F.col("_rows").alias("rows_a"), F.col("_rows").alias("rows_b"),
     )
     shared = names.groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("_names")).where("_names > 1").select(*BLOCK)
-    busy = names.withColumn("_len", F.length("_text")).join(shared, list(BLOCK), "left_semi")
+    # few bytes that become many keys: a fixed number of parts, which is not merged into one
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    busy = names.join(shared.hint("merge"), list(BLOCK), "left_semi").repartition(parts, "_id")
     near = one_edit_pairs(busy, threshold).unionByName(segment_pairs(busy, threshold)).distinct()
     joint = F.length("_one") + F.length("_two")
     pairs = equal.unionByName(near).withColumn(
         "score",
         F.when(joint == 0, 100).otherwise(F.floor((joint - F.col("_distance")) * 100 / F.nullif(joint, F.lit(0)))).cast("int"),
     )
-    sizes_one = names.select(*BLOCK, F.col("_text").alias("_one"), F.col("_rows").alias("rows_a"))
-    sizes_two = names.select(*BLOCK, F.col("_text").alias("_two"), F.col("_rows").alias("rows_b"))
-    return pairs.join(sizes_one, [*BLOCK, "_one"]).join(sizes_two, [*BLOCK, "_two"])
+    return pairs.select(*BLOCK, "_two", "_one", "_distance", "score", "rows_a", "rows_b")
 
 
 def pair_count(rows: DataFrame, names: DataFrame, id: str = "id") -> DataFrame:
