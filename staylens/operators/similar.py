@@ -190,12 +190,16 @@ def pair_count(rows: DataFrame, names: DataFrame, id: str = "id") -> DataFrame:
         F.count(F.lit(1)).alias("_n")
     )
     alike = ids.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("_alike"))
+    # only an id under several names of a block can stand on both sides of a pair
+    key = [*BLOCK, "_id"]
+    several = ids.groupBy(*key).agg(F.count(F.lit(1)).alias("_names")).where("_names > 1").select(*key)
+    ids = ids.join(several.hint("merge"), key, "left_semi")
     left = ids.select(*BLOCK, F.col("_text").alias("_one"), "_id", F.col("_n").alias("_na"))
     right = ids.select(*BLOCK, F.col("_text").alias("_two"), "_id", F.col("_n").alias("_nb"))
     crossed = (
         names.where(~same).select(*BLOCK, "_one", "_two")
-        .join(left, [*BLOCK, "_one"])
-        .join(right, [*BLOCK, "_two", "_id"])
+        .join(left.hint("merge"), [*BLOCK, "_one"])
+        .join(right.hint("merge"), [*BLOCK, "_two", "_id"])
         .agg(F.sum(F.col("_na") * F.col("_nb")).alias("_crossed"))
     )
     zero = F.lit(0)

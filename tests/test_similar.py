@@ -99,3 +99,15 @@ def test_known_cases(spark):
     df = spark.createDataFrame(rows, "_row_id long, id long, name string, latitude double, longitude double, room_type string")
     found = similar.fuzzy_pairs(df, "x").collect()
     assert {(r.id_a, r.id_b, r.score) for r in found} == {(0, 1, 100), (2, 3, 100), (4, 5, 98)}
+
+
+def test_keys_of_names_are_not_broadcast(spark):
+    """A few bytes of names have many keys: no join on them goes through the driver."""
+    df = spark.createDataFrame(listings(12, True), "_row_id long, id long, name string, latitude double, longitude double, room_type string")
+    rows = similar.cell_names(df, "x")
+    names = similar.similar_names(rows)
+    for found in (names, similar.pair_count(rows, names)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    pairs = similar.expand_pairs(rows, names).count()
+    assert similar.pair_count(rows, names).first().pairs == pairs > 50
