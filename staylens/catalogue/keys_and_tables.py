@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import functions as F
 
@@ -262,23 +264,46 @@ def _(t):
     return warehouse.listing_facts(master, _dims(master))
 
 
+class Stored(Mapping):
+    """Tables that are built and stored, as the answers read tables, when one is first asked for."""
+
+    def __init__(self, makers):
+        self._makers, self._tables = makers, {}
+
+    def __getitem__(self, name):
+        if name not in self._tables:
+            self._tables[name] = checkpoint(self._makers[name]())
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self):
+        return len(self._makers)
+
+
 def _star(t):
-    """Facts and dimensions as the warehouse holds them."""
+    """Facts and dimensions as the warehouse holds them; an answer waits for its own only."""
     from staylens.operators.enrich import derived_measures
 
-    master = enrich.with_neighbourhoods(derived_measures(t.listing(*MASTER, *SUBSCORES)))
-    profile = [c for c in master.columns if c.startswith("nb_")]
-    dims = {**_dims(master.drop(*profile)), "dim_city": warehouse.city_table(master, _cities())}
-    dims["dim_neighbourhood"] = warehouse.in_schema(warehouse.neighbourhood_table(master), "dim_neighbourhood")
+    @cache
+    def master():
+        return enrich.with_neighbourhoods(derived_measures(t.listing(*MASTER, *SUBSCORES)))
+
+    @cache
+    def dims():
+        return _dims(master().drop(*[c for c in master().columns if c.startswith("nb_")]))
+
     calendar = t.calendar("listing_id", "date", "city_key", "available", "minimum_nights")
-    star = {
-        **dims,
-        "dim_date": warehouse.date_table([(calendar, "date")]),
-        "fact_listing": warehouse.listing_facts(master, dims),
-        "fact_calendar": warehouse.calendar_facts(calendar),
-    }
-    # stored, as the answers read tables
-    return {name: checkpoint(df) for name, df in star.items()}
+    star = Stored({
+        **{name: lambda name=name: dims()[name] for name in ("dim_host", "dim_property", "dim_room_type")},
+        "dim_city": lambda: warehouse.city_table(t.listing("city_key"), _cities()),
+        "dim_neighbourhood": lambda: warehouse.in_schema(warehouse.neighbourhood_table(master()), "dim_neighbourhood"),
+        "dim_date": lambda: warehouse.date_table([(calendar, "date")]),
+        "fact_listing": lambda: warehouse.listing_facts(master(), star),
+        "fact_calendar": lambda: warehouse.calendar_facts(calendar),
+    })
+    return star
 
 
 @query(
