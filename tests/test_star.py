@@ -3,6 +3,7 @@
 import datetime
 
 from staylens.catalogue.keys_and_tables import _star
+from staylens.plans import answers
 from staylens.plans.hypotheses import weekend_availability
 
 
@@ -14,14 +15,25 @@ class OnlyCalendar:
         return self.rows.select(*names)
 
     def listing(self, *names):
-        raise AssertionError("the listings are not asked for")
+        if names != ("city_key",):
+            raise AssertionError("no more than the cities is asked for")
+        return self.rows.select(*names)
 
 
-def test_weekends_need_no_listings(spark):
+def calendar_star(spark):
     days = [datetime.date(2024, 6, 3) + datetime.timedelta(i) for i in range(14)]
     rows = [(i % 3, d, "asia", i % 2 == 0, 1.0) for i, d in enumerate(days)]
     calendar = spark.createDataFrame(rows, "listing_id long, date date, city_key string, available boolean, minimum_nights double")
-    star = _star(OnlyCalendar(calendar))
+    return _star(OnlyCalendar(calendar))
+
+
+def test_weekends_need_no_listings(spark):
+    star = calendar_star(spark)
     found = weekend_availability(star).first()
     assert (found.n_a, found.n_b) == (4, 10)
     assert star["fact_calendar"] is star["fact_calendar"] and len(star) == 8
+
+
+def test_months_need_only_the_cities_of_listings(spark):
+    found = answers.QUESTIONS["monthly_availability"](calendar_star(spark)).collect()
+    assert [(r.city, r.year, r.month, r.listing_days, r.avail_rate) for r in found] == [("ASIA", 2024, 6, 14, 0.5)]
