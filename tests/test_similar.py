@@ -101,10 +101,12 @@ def test_known_cases(spark):
     assert {(r.id_a, r.id_b, r.score) for r in found} == {(0, 1, 100), (2, 3, 100), (4, 5, 98)}
 
 
-def test_keys_of_names_are_not_broadcast(spark):
+def test_keys_of_names_are_not_broadcast(spark, tmp_path):
     """A few bytes of names have many keys: no join on them goes through the driver."""
     df = spark.createDataFrame(listings(12, True), "_row_id long, id long, name string, latitude double, longitude double, room_type string")
-    rows = similar.cell_names(df, "x")
+    # a small file, whose size the planner knows
+    df.write.parquet(f"{tmp_path}/listings")
+    rows = similar.cell_names(spark.read.parquet(f"{tmp_path}/listings"), "x")
     names = similar.similar_names(rows)
     for found in (names, similar.pair_count(rows, names)):
         plan = found._jdf.queryExecution().executedPlan().toString()
