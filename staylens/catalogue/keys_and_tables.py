@@ -265,14 +265,16 @@ def _(t):
 
 
 class Stored(Mapping):
-    """Tables that are built and stored, as the answers read tables, when one is first asked for."""
+    """Tables that are built and stored, as the answers read tables, when one is first asked for;
+    those in `plans`, which an answer reads once and in few columns, stay plans."""
 
-    def __init__(self, makers):
-        self._makers, self._tables = makers, {}
+    def __init__(self, makers, plans=()):
+        self._makers, self._plans, self._tables = makers, plans, {}
 
     def __getitem__(self, name):
         if name not in self._tables:
-            self._tables[name] = checkpoint(self._makers[name]())
+            made = self._makers[name]()
+            self._tables[name] = made if name in self._plans else checkpoint(made)
         return self._tables[name]
 
     def __iter__(self):
@@ -302,7 +304,7 @@ def _star(t):
         "dim_date": lambda: warehouse.date_table([(calendar, "date")]),
         "fact_listing": lambda: warehouse.listing_facts(master(), star),
         "fact_calendar": lambda: warehouse.calendar_facts(calendar),
-    })
+    }, plans=("dim_date", "fact_calendar"))
     return star
 
 

@@ -44,10 +44,11 @@ def listing_star(tables: Mapping[str, DataFrame], *dims: str) -> DataFrame:
 
 
 def dated_star(tables: Mapping[str, DataFrame], fact: str) -> DataFrame:
-    """Calendar or review facts with the parts of the date and the city name."""
+    """Calendar or review facts with the parts of the date and the city name; days and
+    configured cities are few, so the facts are not shuffled for them."""
     cities = tables["dim_city"].select("city_key", F.col("display_name").alias("city"))
     dates = tables["dim_date"].select("date_key", "date", "year", "month")
-    return tables[fact].join(dates, "date_key").join(cities, "city_key")
+    return tables[fact].join(F.broadcast(dates), "date_key").join(F.broadcast(cities), "city_key")
 
 
 # ---- the seven standing questions ---------------------------------------

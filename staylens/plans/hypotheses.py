@@ -38,7 +38,7 @@ def neighbourhood_prices(t: Tables) -> DataFrame:
 
 def weekend_availability(t: Tables) -> DataFrame:
     """H5: availability differs between weekend and weekdays."""
-    days = t["fact_calendar"].join(t["dim_date"].select("date_key", "date"), "date_key")
+    days = t["fact_calendar"].join(F.broadcast(t["dim_date"].select("date_key", "date")), "date_key")
     typed = days.select("available", day_type(F.col("date")).alias("daytype"))
     return stats.two_proportion_test(typed, "available", "daytype", "weekend", "weekday")
 
