@@ -249,7 +249,9 @@ def _(t):
 def _named_parts(t, names: str = "p_name"):
     """Parts on a small map: many share a cell, and their names are short or long."""
     place = F.col("p_partkey")
-    return t.table("part").select(
+    # few bytes of many rows: their names are taken apart by all tasks, not by the one that reads a file
+    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return t.table("part").repartition(parts).select(
         place.alias("_row_id"), place.alias("id"), F.expr(names).alias("name"), F.col("p_type").alias("room_type"),
         (place % 20 / 100).alias("latitude"), (place % 3 / 100).alias("longitude"),
     )

@@ -12,6 +12,9 @@ found by joins on keys that every matching pair shares:
 A name has about as many keys as letters. The planner takes the exploded keys for as
 small as the names, so joins on them are marked as merge joins: no side is broadcast.
 Keys travel with a name's number; names are brought back for the pairs that were found.
+Names of one template share most segments, so a join on segments also holds two sets of
+64 bits against each other, which letters a name has an odd number of times: an edit
+changes one bit at most, and far names are dropped inside the join.
 """
 
 from __future__ import annotations
@@ -54,6 +57,15 @@ def allowed(la: Column, lb: Column, threshold: float) -> Column:
     return most - F.pmod(most - F.abs(la - lb), F.lit(2))
 
 
+def odd_letters(c: Column) -> Column:
+    """64 bits that tell which letters, some of them taken together, occur an odd number of times."""
+    def bit(x: Column) -> Column:
+        # an empty name is split into one empty text
+        return F.call_function("shiftleft", F.least(F.length(x), F.lit(1)).cast("long"), F.pmod(F.ascii(x), F.lit(64)))
+
+    return F.aggregate(F.split(c, ""), F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(bit(x)))
+
+
 def without(c: Column, at: Column) -> Column:
     """The string without its character at a 1-based position; whole at 0."""
     cut = F.concat(F.substring(c, F.lit(1), at - 1), F.substring(c, at + 1, F.length(c)))
@@ -94,14 +106,15 @@ def one_edit_pairs(names: DataFrame, threshold: float) -> DataFrame:
     keyed = names.select(*BLOCK, "_text", "_len", "_id", F.explode(places).alias("_at")).select(
         F.xxhash64(*BLOCK, without(F.col("_text"), F.col("_at"))).alias("_key"), "_id", "_len", "_at"
     )
-    a, b = keyed.toDF("_key", "_a", "_len_a", "_at_a"), keyed.where("_at > 0").toDF("_key", "_b", "_len_b", "_at_b")
+    # both sides are the same rows, so their keys are made and shuffled once: no condition on one side alone
+    a, b = keyed.toDF("_key", "_a", "_len_a", "_at_a"), keyed.toDF("_key", "_b", "_len_b", "_at_b")
     inserted = (F.col("_at_a") == 0) & (F.col("_len_b") == F.col("_len_a") + 1)
     replaced = (
-        (F.col("_at_a") > 0) & (F.col("_len_a") == F.col("_len_b")) & (F.col("_a") < F.col("_b"))
+        (F.col("_len_a") == F.col("_len_b")) & (F.col("_a") < F.col("_b"))
         & (allowed(F.col("_len_a"), F.col("_len_b"), threshold) >= 2)
     )
     found = a.join(b.hint("merge"), "_key").where(inserted | replaced).select("_a", "_b", "_at_a", "_at_b")
-    # the hashes of keys may agree by chance
+    # the hashes of keys may agree by chance, also those of a whole name and of a cut one
     alike = without(F.col("_text_a"), F.col("_at_a")) == without(F.col("_text_b"), F.col("_at_b"))
     return (
         with_names(found, names)
@@ -112,7 +125,7 @@ def one_edit_pairs(names: DataFrame, threshold: float) -> DataFrame:
 
 
 def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
-    """Pairs with a length gap of two or more, or a distance of three or more."""
+    """Pairs with a length gap of two or more, or a distance of three or more; no pair twice."""
     gap_share = (100.0 - threshold) / threshold
     short = F.col("_short")
     gaps = F.sequence(F.lit(0), F.ceil(F.col("_len") * 2 * F.lit(gap_share) + 1).cast("int"))
@@ -129,11 +142,11 @@ def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
             (F.floor((F.col("_seg") + 1) * short / parts) - F.floor(F.col("_seg") * short / parts)).cast("int").alias("_size"),
         )
 
-    base = names.select(*BLOCK, "_text", "_len", "_id", F.explode(gaps).alias("_gap"))
+    base = names.select(*BLOCK, "_text", "_len", "_id", "_odd", F.explode(gaps).alias("_gap"))
     key = [*BLOCK, "_short", "_gap", "_seg"]
     index = with_plan(base.withColumn("_short", F.col("_len"))).select(
         F.xxhash64(*key, F.substring("_text", F.col("_from") + 1, F.col("_size"))).alias("_key"),
-        F.col("_id").alias("_a"), "_gap",
+        F.col("_id").alias("_a"), F.col("_odd").alias("_odd_a"), "_gap", F.col("_d").alias("_most"),
     )
     lost = ((F.col("_d") - F.col("_gap")) / 2).cast("int")
     gained = ((F.col("_d") + F.col("_gap")) / 2).cast("int")
@@ -144,17 +157,22 @@ def segment_pairs(names: DataFrame, threshold: float) -> DataFrame:
         .where((F.col("_at") >= 0) & (F.col("_at") + F.col("_size") <= F.col("_len")))
         .select(
             F.xxhash64(*key, F.substring("_text", F.col("_at") + 1, F.col("_size"))).alias("_key"),
-            F.col("_id").alias("_b"),
+            F.col("_id").alias("_b"), F.col("_odd").alias("_odd_b"),
         )
     )
-    found = index.join(probe.hint("merge"), "_key").where((F.col("_gap") > 0) | (F.col("_a") < F.col("_b")))
+    once = (F.col("_gap") > 0) | (F.col("_a") < F.col("_b"))
+    alike = F.bit_count(F.col("_odd_a").bitwiseXOR(F.col("_odd_b"))) <= F.col("_most")
+    found = index.join(probe.hint("merge"), "_key").where(once & alike)
     pairs = with_names(found.select("_a", "_b").distinct(), names).select(*FOUND)
     la, lb = F.length("_one"), F.length("_two")
-    most = allowed(la, lb, threshold)
-    # a replaced letter costs 1 here and 2 there, so this never drops a match
-    close = pairs.where(F.levenshtein("_one", "_two") <= most)
-    distance = la + lb - 2 * common_length(F.col("_one"), F.col("_two"))
-    return close.withColumn("_distance", distance).where(F.col("_distance") <= most).select(*FOUND, "_distance")
+    distance = F.col("_distance")
+    # what `one_edit_pairs` finds is left to it
+    further = (distance > 2) | (F.abs(la - lb) > 1)
+    return (
+        pairs.withColumn("_distance", la + lb - 2 * common_length(F.col("_one"), F.col("_two")))
+        .where((distance <= allowed(la, lb, threshold)) & further)
+        .select(*FOUND, "_distance")
+    )
 
 
 def similar_names(rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -162,7 +180,8 @@ def similar_names(rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     score and the number of rows on either side. Linear in the distinct names."""
     names = rows.groupBy(*BLOCK, "_text").agg(F.count(F.lit(1)).alias("_rows"))
     # numbered once: a number must not change between the joins
-    names = checkpoint(names.select("*", F.length("_text").alias("_len"), F.monotonically_increasing_id().alias("_id")))
+    number = F.monotonically_increasing_id().alias("_id")
+    names = checkpoint(names.select("*", F.length("_text").alias("_len"), odd_letters(F.col("_text")).alias("_odd"), number))
     equal = names.where("_rows > 1").select(
         *BLOCK, F.col("_text").alias("_one"), F.col("_text").alias("_two"), F.lit(0).alias("_distance"),
         F.col("_rows").alias("rows_a"), F.col("_rows").alias("rows_b"),
@@ -171,7 +190,7 @@ def similar_names(rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     # few bytes that become many keys: a fixed number of parts, which is not merged into one
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     busy = names.join(shared.hint("merge"), list(BLOCK), "left_semi").repartition(parts, "_id")
-    near = one_edit_pairs(busy, threshold).unionByName(segment_pairs(busy, threshold)).distinct()
+    near = one_edit_pairs(busy, threshold).unionByName(segment_pairs(busy, threshold))
     joint = F.length("_one") + F.length("_two")
     pairs = equal.unionByName(near).withColumn(
         "score",

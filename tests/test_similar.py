@@ -5,7 +5,9 @@ from collections import defaultdict
 
 import pytest
 
-from staylens.functions.similarity import common_letters
+from pyspark.sql import functions as F
+
+from staylens.functions.similarity import common_letters, common_many
 from staylens.operators import similar
 
 
@@ -87,6 +89,53 @@ def test_common_letters():
         assert common_letters(a, b) == subsequence(a, b)
 
 
+def edited(rng, letters, name, edits):
+    name = list(name)
+    for _ in range(edits):
+        at = rng.randrange(len(name) + 1)
+        if rng.random() < 0.5 or not name:
+            name.insert(at, rng.choice(letters))
+        else:
+            del name[min(at, len(name) - 1)]
+    return "".join(name)
+
+
+def test_common_letters_of_many_pairs():
+    """Short, long and empty names in one call; middles of up to 63 letters and longer ones."""
+    rng, pairs = random.Random(2), [("", ""), ("a", "")]
+    for _ in range(3000):
+        letters = rng.choice(["ab", "abcdé😀\0", "abcdefghijklmnopqrstuvwxyz"])
+        name = "".join(rng.choice(letters) for _ in range(rng.choice([1, 9, 40, 70, 130, 300])))
+        pairs.append((name, edited(rng, letters, name, rng.choice([0, 1, 3, 9, 150]))))
+    for many in (pairs, pairs[:1], []):
+        assert common_many([a for a, _ in many], [b for _, b in many]).tolist() == [common_letters(*p) for p in many]
+
+
+def test_an_edit_changes_one_bit(spark):
+    """Names that are further apart in their sets of letters cannot match; most names of a template go so."""
+    rng, rows = random.Random(3), []
+    for _ in range(300):
+        letters = rng.choice(["ab", "é😀ñ", "house 0123456789"])
+        name, edits = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40))), rng.randint(0, 5)
+        rows.append((name, edited(rng, letters, name, edits), edits))
+    df = spark.createDataFrame(rows, "a string, b string, edits int")
+    gap = F.bit_count(similar.odd_letters(F.col("a")).bitwiseXOR(similar.odd_letters(F.col("b"))))
+    assert df.where(gap > F.col("edits")).count() == 0 and df.where(gap == F.col("edits")).count() > 30
+
+
+def test_far_names_of_a_template_are_dropped_in_the_join(spark):
+    """The join on segments holds the sets of letters against each other; deletion keys are made once for both sides."""
+    df = spark.createDataFrame(listings(12, True), "_row_id long, id long, name string, latitude double, longitude double, room_type string")
+    plan = similar.similar_names(similar.cell_names(df, "x"))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "SortMergeJoin" in line]
+    assert any("bit_count" in line for line in joins) and "levenshtein" not in plan
+    rows = spark.createDataFrame([("x", 1, 1, "r", "grand house by the sea " * 4, 1, 92, 0, i) for i in range(3)], "_set string, _y long, _x long, _block string, _text string, _rows long, _len int, _odd long, _id long")
+    pairs = similar.one_edit_pairs(rows.repartition(2, "_id"), 98.0)
+    pairs.collect()
+    shuffles = [line for line in pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n") if "hashpartitioning(_key" in line]
+    assert len(shuffles) == 2 and sum("Reused" in line for line in shuffles) == 1
+
+
 def test_known_cases(spark):
     sixty, ten = "x" * 30 + "abcdefghij" * 3, "abcdefghij"
     rows = [
