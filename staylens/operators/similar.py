@@ -205,14 +205,12 @@ def pair_count(rows: DataFrame, names: DataFrame, id: str = "id") -> DataFrame:
     same = F.col("_one") == F.col("_two")
     a, b = F.col("rows_a"), F.col("rows_b")
     all_pairs = names.agg(F.sum(F.when(same, a * (a - 1) / 2).otherwise(a * b)).alias("_all"))
-    ids = rows.where(F.col(id).isNotNull()).groupBy(*BLOCK, "_text", F.col(id).alias("_id")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    alike = ids.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("_alike"))
-    # only an id under several names of a block can stand on both sides of a pair
     key = [*BLOCK, "_id"]
-    several = ids.groupBy(*key).agg(F.count(F.lit(1)).alias("_names")).where("_names > 1").select(*key)
-    ids = ids.join(several.hint("merge"), key, "left_semi")
+    known = rows.where(F.col(id).isNotNull()).select(*BLOCK, "_text", F.col(id).alias("_id"))
+    # only an id that a block has twice can stand on both sides of a pair
+    twice = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*key)
+    ids = known.join(twice.hint("merge"), key, "left_semi").groupBy(*BLOCK, "_text", "_id").agg(F.count(F.lit(1)).alias("_n"))
+    alike = ids.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("_alike"))
     left = ids.select(*BLOCK, F.col("_text").alias("_one"), "_id", F.col("_n").alias("_na"))
     right = ids.select(*BLOCK, F.col("_text").alias("_two"), "_id", F.col("_n").alias("_nb"))
     crossed = (

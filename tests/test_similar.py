@@ -136,6 +136,18 @@ def test_far_names_of_a_template_are_dropped_in_the_join(spark):
     assert len(shuffles) == 2 and sum("Reused" in line for line in shuffles) == 1
 
 
+def test_ids_are_counted_over_one_reading_of_the_names(spark, tmp_path):
+    df = spark.createDataFrame(listings(12, True), "_row_id long, id long, name string, latitude double, longitude double, room_type string")
+    df.write.parquet(f"{tmp_path}/listings")
+    rows = similar.cell_names(spark.read.parquet(f"{tmp_path}/listings"), "x")
+    names = similar.similar_names(rows)
+    pairs = similar.pair_count(rows, names)
+    assert pairs.first().pairs == similar.expand_pairs(rows, names).count()
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert sum("array_sort" in line for line in plan.split("\n")) == 1
+
+
 def test_known_cases(spark):
     sixty, ten = "x" * 30 + "abcdefghij" * 3, "abcdefghij"
     rows = [
